@@ -40,17 +40,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def balance(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, cap: int = 3, rows_per_bucket: int = 50_000, max_iterations: int = 60, tolerance: float = 1e-7) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken for every row of ``docs``.
+    """doc_id, th (text hash), source, size, source_size, target, copies, taken for every row of ``docs``.
 
     ``copies`` is 0 to ``cap``; ``taken`` = copies * size. Sizes are word counts (null text: 0); a null source
     is a source of its own, last in order; rows that repeat in doc_id, source and size are counted before the
     shuffle; empty tables give no rows; other columns are not read. Sources without words get target 0 and
     documents without words no copies. All sums that decide are sums of integers, so reruns agree.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words("text").alias("size"))
-    slim = stored(slim.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words("text").alias("size"), F.xxhash64("text").alias("th"))
+    slim = stored(slim.groupBy("doc_id", "source", "size", "th").agg(F.count("*").alias("m")))
     n_buckets = max(16, -(-slim.count() // rows_per_bucket))
-    bucket = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(n_buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64("doc_id", "th"), F.lit(n_buckets)).cast("int")
     slim = slim.withColumn("bucket", bucket)
     cells = stored(slim.groupBy("source", "size", "bucket").agg(F.sum("m").alias("rows")))
     hist = cells.groupBy("source", "size").agg(F.sum("rows").alias("n"))
@@ -71,13 +71,26 @@ def balance(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     cell = cells.withColumn("skip", F.coalesce(F.sum("rows").over(off), F.lit(0)))
     on = same & (F.col("a.size") == F.col("b.size"))
     cell = cell.alias("a").join(groups.alias("b"), on).select("a.*", "k", "n", "target", "source_size")
-    rank = Window.partitionBy("source", "size", "bucket").orderBy(F.col("doc_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    rank = Window.partitionBy("source", "size", "bucket").orderBy(F.col("doc_id").asc_nulls_first(), "th").rowsBetween(Window.unboundedPreceding, -1)
     ranked = slim.withColumn("j0", F.coalesce(F.sum("m").over(rank), F.lit(0)))
     on &= F.col("a.bucket") == F.col("b.bucket")
-    out = ranked.alias("a").join(cell.alias("b"), on).select("a.doc_id", "a.source", "a.size", "source_size", "target", "k", "n", (F.col("skip") + F.col("j0")).alias("j0"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("i"))
+    out = ranked.alias("a").join(cell.alias("b"), on).select("a.doc_id", "a.th", "a.source", "a.size", "source_size", "target", "k", "n", (F.col("skip") + F.col("j0")).alias("j0"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("i"))
     j = F.col("j0") + F.col("i")
     copies = F.expr("(j + 1) * k div n - j * k div n")
-    return out.withColumn("j", j).withColumn("copies", copies.cast("int")).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return out.withColumn("j", j).withColumn("copies", copies.cast("int")).select("doc_id", "th", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, broadcast_rows: int = 400_000, **options) -> DataFrame:
+    """``docs`` with every row repeated as often as the mix takes it (not at all for 0 copies)."""
+    plan = balance(docs, **options).groupBy("doc_id", "th", "source").agg(F.sum("copies").alias("k"), F.count("*").alias("m"))
+    plan = stored(plan.select(F.col("doc_id").alias("mix_id"), F.col("th").alias("mix_th"), F.col("source").alias("mix_source"), "k", "m"))
+    side = F.broadcast(plan) if plan.count() <= broadcast_rows else plan
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & (F.xxhash64("text") == F.col("mix_th")) & F.col("source").eqNullSafe(F.col("mix_source"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text").join(side, on).drop("doc_id", "source", "text")
+    some = rows.filter("m = 1 AND k > 0").select("row", F.explode(F.expr("sequence(1L, k)")))
+    repeated = rows.filter("m > 1 AND k > 0").withColumn("j", F.row_number().over(Window.partitionBy("mix_id", "mix_th", "mix_source").orderBy(F.col("row").cast("string"))) - 1)
+    repeated = repeated.withColumn("own", F.expr("(j + 1) * k div m - j * k div m")).filter("own > 0").select("row", F.explode(F.expr("sequence(1L, own)")))
+    return some.unionByName(repeated).select("row.*")
 
 
 def rate(x, lam, cap: int):

@@ -44,28 +44,30 @@ def spans_of(text: str, pattern: str, keep=None, needle: str | None = None) -> C
     return F.when(there, slim).otherwise(F.array().cast(SPAN))
 
 
-def scan(docs: DataFrame, scope: int = SCOPE, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Adds to doc_id (and the columns in ``extra``, which must not clash): base and spans, arrays of struct<start, k, kind, end> by start, then kind.
+def scan(docs: DataFrame, scope: int = SCOPE, carry: bool = False) -> DataFrame:
+    """doc_id (with ``carry`` also ``row``, a struct of all input columns), base and spans: arrays of struct<start, k, kind, end> by start, then kind.
 
     Null and empty text: no spans; a null doc_id is an id like any other; repeated rows get the same spans; an
     empty table gives no rows. ``base`` holds the kinds assign, access and hex; ``spans`` adds linked parts.
     """
     long_enough = lambda m: F.char_length(F.regexp_extract(m, ASSIGN, 2)) >= 8
     mixed = lambda m: m.rlike("[a-z]") & m.rlike("[A-Z]") & m.rlike("[0-9]")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *extra).withColumn("th", F.xxhash64("text"))
+    row = [F.struct(*docs.columns).alias("row")] if carry else []
+    held = ["row"] if carry else []
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *row).withColumn("th", F.xxhash64("text"))
     found = stored(d.select(
-        "doc_id", "th", *extra, spans_of("text", ASSIGN, long_enough).alias("assign"), spans_of("text", ACCESS, needle="AKIA").alias("access"), spans_of("text", HEX).alias("hex"),
+        "doc_id", "th", *held, spans_of("text", ASSIGN, long_enough).alias("assign"), spans_of("text", ACCESS, needle="AKIA").alias("access"), spans_of("text", HEX).alias("hex"),
         spans_of("text", WEAK, mixed).alias("weak"), spans_of("text", IDENT).alias("ident"), spans_of("text", ENDPOINT, needle="://").alias("endpoint"),
     ))
     tagged = lambda kinds: F.array_sort(F.flatten(F.array(*[of_kind(k) for k in kinds])))
-    base = found.select("doc_id", "th", *extra, tagged(KINDS[:3]).alias("base"))
+    base = found.select("doc_id", "th", *held, tagged(KINDS[:3]).alias("base"))
     ids, secrets, weak = F.size("access") + F.size("ident"), F.size("assign") + F.size("hex") + F.size("weak"), F.size("weak") + F.size("ident") + F.size("endpoint")
     parts = found.filter((ids > 0) & (secrets > 0) & (weak > 0)).select("doc_id", "th", tagged(KINDS).alias("p")).dropDuplicates(["doc_id", "th"])
     linked = link(parts.select("doc_id", "th", F.explode("p").alias("p")).select("doc_id", "th", "p.*"), scope)
     linked = linked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "k", "kind", "end")).alias("more"))
     on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.th") == F.col("b.th"))
     empty = F.array().cast("array<struct<start:int,k:int,kind:string,end:int>>")
-    return base.alias("a").join(linked.alias("b"), on, "left").select("a.doc_id", *[f"a.{c}" for c in extra], "base", F.array_sort(F.concat("base", F.coalesce("more", empty))).alias("spans"))
+    return base.alias("a").join(linked.alias("b"), on, "left").select("a.doc_id", *[f"a.{c}" for c in held], "base", F.array_sort(F.concat("base", F.coalesce("more", empty))).alias("spans"))
 
 
 def of_kind(kind: str) -> Column:
@@ -100,3 +102,11 @@ def masked(text: str, spans: str, mark: str = "[SECRET]") -> Column:
     step = lambda a, s: F.when(s["start"] >= a["at"], F.struct(s["end"].alias("at"), F.concat(a["out"], F.array(F.substring(t, a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out"))).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")))
     whole = F.aggregate(F.col(spans), start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(t, a["at"] + 1, F.char_length(t))))
     return F.when(F.size(spans) > 0, whole).otherwise(t)
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """``docs`` with every reported span masked and n_chars to match; clean rows unchanged."""
+    got = scan(docs, carry=True).select("row.*", "spans")
+    hit, text = F.size("spans") > 0, masked("text", "spans")
+    got = got.withColumn("clean", text)
+    return got.select(*[F.col("clean").alias(c) if c == "text" else F.when(hit, F.char_length("clean").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
