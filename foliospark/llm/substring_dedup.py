@@ -48,7 +48,7 @@ def covered(n: int, starts: list[int], counts: list[int], width: int) -> np.ndar
     return np.cumsum(edge)[:n] > 0
 
 
-def repeated_windows(docs: DataFrame, width: int = 35, gram: int = GRAM, broadcast_rows: int = 300_000) -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int = 35, gram: int = GRAM) -> DataFrame:
     """(doc_id, th, runs array<struct<start,n>>): runs of window starts whose words also start elsewhere."""
     base = keyed(docs)
 
@@ -69,7 +69,7 @@ def repeated_windows(docs: DataFrame, width: int = 35, gram: int = GRAM, broadca
     marked = stored(shared.join(wording, ["mh", "sh"]).select("doc_id", "th", "first", "n", (F.col("c") > 1).alias("whole"), (F.col("mixed") & F.col("rep").eqNullSafe(F.struct("doc_id", "th", "first"))).alias("lists")).filter("whole OR lists"))
 
     lists = marked.filter("lists").groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n", "whole")).alias("runs"))
-    texts = with_runs(base, lists, broadcast_rows, "inner")
+    texts = with_runs(base, lists, "inner")
 
     def window(batches):
         for b in batches:
@@ -92,16 +92,14 @@ def keyed(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text", *extra)
 
 
-def with_runs(base: DataFrame, runs: DataFrame, broadcast_rows: int, how: str) -> DataFrame:
-    """Adds runs to their documents: by broadcast while documents and runs are few, else by a shuffled join."""
-    runs = stored(runs)
-    rows, held = runs.agg(F.count("*"), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
-    side = F.broadcast(runs) if rows <= broadcast_rows and held <= 10 * broadcast_rows else runs
+def with_runs(base: DataFrame, runs: DataFrame, how: str) -> DataFrame:
+    """Adds runs to their documents; Spark picks the join by the sizes it measures, nothing is broadcast by hand."""
+    side = stored(runs)
     on = base["doc_id"].eqNullSafe(side["doc_id"]) & (base["th"] == side["th"])
     return base.join(side, on, how).select(base["doc_id"], base["th"], "text", "runs")
 
 
-def dedup(docs: DataFrame, width: int = 35, with_text: bool = False, broadcast_rows: int = 300_000) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 35, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, spans (and kept, the text that stays) for every row.
 
     Kept words are joined by one space; spans are [first, end) word places that were removed. Null, empty and
@@ -109,7 +107,7 @@ def dedup(docs: DataFrame, width: int = 35, with_text: bool = False, broadcast_r
     null doc_id stays; an empty table gives no rows; other columns are not read. Windows are judged on the input.
     """
     base = keyed(docs)
-    both = with_runs(base, repeated_windows(docs, width, broadcast_rows=broadcast_rows), broadcast_rows, "left")
+    both = with_runs(base, repeated_windows(docs, width), "left")
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "spans", *["kept"] * with_text]
 
     def cut(batches):

@@ -74,11 +74,10 @@ def pairs(rows):
 
 
 @pytest.mark.parametrize("seed", [7, 8])
-@pytest.mark.parametrize("broadcast_rows", [300_000, 0])
-def test_dedup(spark, seed, broadcast_rows):
+def test_dedup(spark, seed):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    assert got(substring_dedup.dedup(df, broadcast_rows=broadcast_rows), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.dedup(pairs(rows)))
+    assert got(substring_dedup.dedup(df), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.dedup(pairs(rows)))
 
 
 def test_token_counts(docs, rows):
