@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 250_000  # pre-tokens a worker remembers; beyond that it starts anew
+CACHE = 400_000  # pre-tokens a worker remembers; beyond that it keeps those of the block at hand
 SPACE = r"\p{White_Space}"
 
 
@@ -38,7 +38,12 @@ class Tokenizer:
         as_bytes = lambda s: bytes(letters[c] for c in s)
         self.ids = {as_bytes(t): i for t, i in data["model"]["vocab"].items() if t not in self.special}
         self.bytes = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.longest = max(map(len, self.ids))
+        self.single = [self.ids[bytes([b])] for b in range(256)]
+        reach = [0] * 65536  # longest token by its first two bytes
+        for b in self.ids:
+            if len(b) > 1:
+                reach[b[0] << 8 | b[1]] = max(reach[b[0] << 8 | b[1]], len(b))
+        self.reach = reach
         self.merges = {}
         for rank, m in enumerate(data["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
@@ -60,8 +65,24 @@ class Tokenizer:
 
     def merge(self, raw: bytes) -> list[int]:
         """Exact merging: the lowest rank first, leftmost first; a heap over a linked list, so n log n."""
-        ids: list = [self.ids[raw[i : i + 1]] for i in range(len(raw))]
+        ids: list = [self.single[b] for b in raw]
         n = len(ids)
+        if n <= 24:  # short words: the least rank by a scan
+            merges = self.merges
+            pairs = [merges.get(p) for p in zip(ids, ids[1:])]
+            while True:
+                best, at = None, -1
+                for i, m in enumerate(pairs):
+                    if m is not None and (best is None or m[0] < best[0]):
+                        best, at = m, i
+                if best is None:
+                    return ids
+                ids[at : at + 2] = [best[1]]
+                del pairs[at]
+                if at:
+                    pairs[at - 1] = merges.get((ids[at - 1], best[1]))
+                if at < len(pairs):
+                    pairs[at] = merges.get((best[1], ids[at + 1]))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := self.merges.get((ids[i], ids[i + 1])))]
         heapq.heapify(heap)
@@ -79,9 +100,9 @@ class Tokenizer:
         return [x for x in ids if x is not None]
 
     def greedy(self, raw: bytes) -> list[int]:
-        out, at, n, ids = [], 0, len(raw), self.ids
+        out, at, n, ids, reach = [], 0, len(raw), self.ids, self.reach
         while at < n:
-            end = min(n, at + self.longest)
+            end = min(n, at + (reach[raw[at] << 8 | raw[at + 1]] or 1)) if at + 1 < n else n
             while raw[at:end] not in ids:
                 end -= 1
             out.append(ids[raw[at:end]])
@@ -91,12 +112,12 @@ class Tokenizer:
     def compatible(self, keys: np.ndarray) -> np.ndarray:
         """For pairs (left << 32 | right): do they stay two tokens when merged exactly? Verdicts are kept."""
         own = np.unique(keys)
-        new = own[~np.isin(own, self.pair_keys, assume_unique=True)]
+        at = np.searchsorted(self.pair_keys, own)
+        new = own[self.pair_keys[np.minimum(at, len(self.pair_keys) - 1)] != own] if len(self.pair_keys) else own
         if len(new):
             told = np.fromiter((self.merge(self.bytes[k >> 32] + self.bytes[k & 0xFFFFFFFF]) == [k >> 32, k & 0xFFFFFFFF] for k in new.tolist()), bool, len(new))
-            keys_, oks = np.concatenate([self.pair_keys, new]), np.concatenate([self.pair_ok, told])
-            order = np.argsort(keys_)
-            self.pair_keys, self.pair_ok = keys_[order], oks[order]
+            at = np.searchsorted(self.pair_keys, new)
+            self.pair_keys, self.pair_ok = np.insert(self.pair_keys, at, new), np.insert(self.pair_ok, at, told)
         return self.pair_ok[np.searchsorted(self.pair_keys, keys)]
 
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
@@ -119,7 +140,7 @@ class Tokenizer:
 
     def learn(self, pieces: set[str]) -> None:
         if len(self.known) + len(pieces) > CACHE:
-            self.known.clear()
+            self.known = {p: self.known[p] for p in pieces if p in self.known}
         todo = [p for p in pieces if p not in self.known]
         for p, ids in zip(todo, self.encode_pieces(todo)):
             self.known[p] = (",".join(map(str, ids)), len(ids), self.decode(ids))
@@ -143,7 +164,7 @@ def loaded(spec: str) -> Tokenizer:
     return _loaded[key]
 
 
-def blocks(texts: list, size: int = 200_000):
+def blocks(texts: list, size: int = 1_000_000):
     """Slices of about ``size`` characters, at least one text each."""
     at = 0
     while at < len(texts):
@@ -232,14 +253,12 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, table_size: int =
             texts = b.column(1).to_pylist()
             for i, j in blocks(texts):
                 lists = [t.segments(x or "") for x in texts[i:j]]
-                misses = [p for p in set().union(*lists) if p not in first and p not in second]
+                here = set().union(*lists)
+                misses = [p for p in here if p not in first and p not in second]
                 if len(second) + len(misses) > CACHE:
-                    misses += [p for p in second if p in set().union(*lists)]
-                    second = {}
+                    second = {p: second[p] for p in here if p in second}
                 second.update(zip(misses, map(len, t.encode_pieces(misses))))
-                both = second | first if len(second) < 2000 else None
-                look = both.__getitem__ if both else lambda p: first[p] if p in first else second[p]  # noqa: B023
-                counts = [sum(map(look, pieces)) for pieces in lists]
+                counts = [sum([first[p] if p in first else second[p] for p in pieces]) for pieces in lists]
                 size = [len((x or "").encode("utf-8")) for x in texts[i:j]]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(size, pa.int64()), pa.array(counts, pa.int64()), pa.array([c > limit for c in counts], pa.bool_())], names)
 
