@@ -37,7 +37,7 @@ def run_hashes(h: np.ndarray, starts: np.ndarray, lengths) -> np.ndarray:
     powers, inverse = _powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(mixed(h) * powers[:n], out=sums[1:])
-    return mixed((sums[starts + lengths] - sums[starts]) * inverse[starts] + np.uint64(1) * np.asarray(lengths, np.uint64) * _ODD[1])
+    return mixed((sums[starts + lengths] - sums[starts]) * inverse[starts] + np.atleast_1d(np.asarray(lengths, np.uint64)) * _ODD[1])
 
 
 _cache = (np.ones(1, np.uint64), np.ones(1, np.uint64))
