@@ -102,11 +102,12 @@ def rate(x, lam, cap: int):
 def solve(hist: DataFrame, targets: DataFrame, cap: int, max_iterations: int, tolerance: float) -> DataFrame:
     """(source, lam): safeguarded Newton steps; every step is one aggregation of the histogram by source.
 
-    A step that leaves the bracket is replaced by its middle. The driver sees one number a step: the largest
-    relative miss over the sources whose target is strictly inside (0, cap * size).
+    A step that leaves the bracket is replaced by its middle. A source is settled within ``tolerance`` of its
+    target, or within the error that rates rounded to millionths can make (half a millionth of its size). The
+    driver sees one number a step: the unsettled among the sources whose target is strictly inside (0, cap * size).
     """
     free = (F.col("target") > 0) & (F.col("target") < F.col("source_size") * cap)
-    state = stored(targets.filter(free).select("source", F.lit(0.0).alias("lam"), F.lit(-4096.0).alias("lo"), F.lit(4096.0).alias("hi"), F.lit(1.0).alias("miss")))
+    state = stored(targets.filter(free).select("source", F.lit(0.0).alias("lam"), F.lit(-4096.0).alias("lo"), F.lit(4096.0).alias("hi"), F.lit(False).alias("settled")))
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
     scale = F.lit(1e6)
     for _ in range(max_iterations):
@@ -114,7 +115,7 @@ def solve(hist: DataFrame, targets: DataFrame, cap: int, max_iterations: int, to
         r = rate(x, F.col("lam"), cap)
         slope = r * (F.lit(1.0) - r / F.lit(float(cap))) * x
         got = hist.alias("a").join(state.alias("b"), same).groupBy("a.source").agg(
-            F.first("lam").alias("lam"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("target").alias("target"),
+            F.first("lam").alias("lam"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.first("target").alias("target"), F.first("source_size").alias("whole"),
             (F.sum(F.round(r * scale).cast("decimal(38,0)") * F.col("size") * F.col("n")).cast("double") / scale).alias("f"),
             (F.sum(F.round(slope * scale).cast("decimal(38,0)") * F.col("size") * F.col("n")).cast("double") / scale).alias("d"),
         )
@@ -124,11 +125,10 @@ def solve(hist: DataFrame, targets: DataFrame, cap: int, max_iterations: int, to
         inside = (step > F.col("lo")) & (step < F.col("hi"))
         middle = (F.col("lo") + F.col("hi")) / 2
         narrow = F.when((F.col("lo") > -4096) & (F.col("hi") < 4096), middle).when(F.col("lo") <= -4096, F.col("lam") * 2 - 1).otherwise(F.col("lam") * 2 + 1)
-        miss = F.abs(F.col("f") - F.col("target")) / F.col("target")
-        next_lam = F.when(miss <= tolerance, F.col("lam")).when(inside & (F.abs(step - F.col("lam")) < 4), step).otherwise(narrow)
-        state = stored(got.select("source", next_lam.alias("lam"), "lo", "hi", miss.alias("miss")))
-        worst = state.agg(F.max("miss")).first()[0]
-        if worst is None or worst <= tolerance:
+        settled = F.abs(F.col("f") - F.col("target")) <= F.greatest(F.col("target") * tolerance, F.col("whole") / (2 * scale))
+        next_lam = F.when(settled, F.col("lam")).when(inside & (F.abs(step - F.col("lam")) < 4), step).otherwise(narrow)
+        state = stored(got.select("source", next_lam.alias("lam"), "lo", "hi", settled.alias("settled")))
+        if not state.filter("NOT settled").count():
             break
     return targets.select("source").alias("a").join(state.alias("b"), same, "left").select("a.source", F.coalesce("lam", F.lit(0.0)).alias("lam"))
 
