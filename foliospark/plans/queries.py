@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import boxes, text
+from ..functions import boxes, syllables, text
 from ..functions.similarity import similar
 from ..operators import audits, joins, layout, order, regions, search, vote
 
@@ -330,3 +330,15 @@ def concept_findability(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row"), joins.near_set(F.sequence(F.lit(1), F.lit(10))).alias("near"), F.array(text.conjunction(F.array_join(F.slice(F.split("text", " "), 1, 3), " + "))).alias("queries"))
     d = table(spark, sf_dir, "documents").select(F.array(F.col("doc_id").cast("int")).alias("pages"), text.clean(F.col("text")).alias("text"))
     return audits.findability(b, d).select("row", "strict", "loose", F.size("strict_pages").alias("n_strict"), F.size("loose_pages").alias("n_loose"))
+
+
+@query(f"""SELECT doc_id, CAST(count(w) AS BIGINT) AS n_words, count(*) FILTER (w IS NOT NULL AND NOT (length(regexp_replace(low, '{syllables.ANY_TONE}', '', 'g')) >= length(low) - 1
+    AND NOT (regexp_matches(low, '{syllables.BARRED_TONE}') AND regexp_matches(base, '{syllables.STOP}')) AND regexp_matches(base, '{syllables.SHAPE}'))) AS n_suspicious
+    FROM (SELECT rid, doc_id, w, lower(w) AS low, translate(lower(w), '{syllables.TONED}', '{syllables.PLAIN}') AS base
+      FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents) LEFT JOIN (SELECT * FROM (SELECT rid AS r, unnest(regexp_extract_all(text, '\\p{{L}}+')) AS w
+        FROM (SELECT row_number() OVER () AS rid, text FROM documents)) WHERE regexp_matches(w, '[^\\x00-\\x7F]')) ON r = rid) GROUP BY rid, doc_id""")
+def syllable_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with letters beyond ASCII, and those that are no Vietnamese syllable."""
+    beyond = F.filter(text.letter_words(F.col("text")), lambda w: w.rlike(r"[^\x00-\x7F]"))
+    size = lambda a: F.coalesce(F.array_size(a), F.lit(0)).cast("long")
+    return table(spark, sf_dir, "documents").select("doc_id", size(beyond).alias("n_words"), size(syllables.suspicious_words(F.col("text"))).alias("n_suspicious"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import subprocess
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +87,21 @@ def missing_files(wanted: DataFrame, listing: DataFrame, key: str) -> DataFrame:
 
 def sha256_ok(content: Column, expected: Column) -> Column:
     return F.sha2(content, 256) == F.lower(expected)
+
+
+def missing_pages(spark: SparkSession, first: int, last: int, folder: str, glob: str = "*.json") -> DataFrame:
+    """(page): pages first to last without a file in the folder that is named by its number; contents are not read."""
+    have = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select(F.regexp_extract("path", r"(\d+)\.[^./]*$", 1).cast("int").alias("page"))
+    return spark.range(first, last + 1).select(F.col("id").cast("int").alias("page")).join(have, "page", "left_anti")
+
+
+def command_rows(calls: DataFrame, args: str, command: list[str], schema: str) -> DataFrame:
+    """The columns of ``calls`` and those of ``schema``: a child process for each row, called with the strings in the
+    column ``args``, prints a JSON array of rows. A failing process fails the task, which Spark runs again."""
+
+    @F.pandas_udf("string")
+    def output(given: pd.Series) -> pd.Series:
+        return given.map(lambda a: subprocess.run([*command, *(a if a is not None else [])], check=True, capture_output=True, text=True).stdout)
+
+    rows = F.from_json(output(args), f"array<struct<{schema}>>", {"mode": "FAILFAST"})
+    return calls.withColumn("_rows", rows).select(*calls.columns, F.inline("_rows"))

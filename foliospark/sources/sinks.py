@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import cell
+from ..functions.text import cell, html_escape
 
 
 def chapter_texts(blocks: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def write_chapters(texts: DataFrame, path: str) -> None:
 
 
 def markdown_rows(df: DataFrame, *cols: str) -> Column:
-    return F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(F.col(c).cast("string")) for c in cols]), F.lit(" |"))
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(cell(F.col(c).cast("string")), F.lit("")) for c in cols]), F.lit(" |"))
 
 
 def replaced_section(report: Column, title: str, section: Column) -> Column:
@@ -37,3 +37,19 @@ def box_map(boxes: DataFrame) -> DataFrame:
     """One JSON object: page to its boxes in order. A row for each figure page."""
     per = boxes.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "x", "y", "w", "h"))), lambda b: F.array(b["x"], b["y"], b["w"], b["h"])).alias("boxes"))
     return per.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.format_string("%03d", "page"), "boxes"))))).alias("json"))
+
+
+def table_sections(rows: DataFrame, group: str, order: list[str], cols: dict[str, str]) -> DataFrame:
+    """(group, text): a Markdown heading and table for each group; ``cols`` maps columns to headings. Serves the concept index (by first letter) and the figure list (by chapter)."""
+    head = f"| {' | '.join(cols.values())} |\n|{'---|' * len(cols)}"
+    lines = F.transform(F.array_sort(F.collect_list(F.struct(*order, markdown_rows(rows, *cols).alias("md")))), lambda r: r["md"])
+    return rows.groupBy(group).agg(F.concat_ws("\n", F.concat(F.lit("## "), F.first(group).cast("string"), F.lit("\n")), F.lit(head), lines).alias("text"))
+
+
+def figure_preview(figures: DataFrame) -> DataFrame:
+    """(no, html): a section of escaped figures for each chapter, from (no, chapter, page, k, section, file)."""
+    e = lambda c: html_escape(F.col(c).cast("string"))
+    one = F.concat(F.lit('<figure><img loading="lazy" src="'), e("file"), F.lit('"><figcaption>'), e("page"), F.lit(" "), F.coalesce(e("section"), F.lit("")), F.lit("</figcaption></figure>"))
+    made = figures.select("no", e("chapter").alias("title"), F.struct("page", "k", one.alias("html")).alias("f"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("f")), lambda f: f["html"]), "\n")
+    return made.groupBy("no").agg(F.concat(F.lit("<section><h2>"), F.first("title"), F.lit("</h2>\n"), body, F.lit("\n</section>")).alias("html"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.functions import boxes, text
+from foliospark.functions import boxes, syllables, text
 from foliospark.functions.similarity import coverage_of
 from foliospark.operators import audits, joins, layout, order, regions, search, vote
 from foliospark.sources import readers, sinks
@@ -220,3 +220,29 @@ def test_entry_imports_without_the_training_operators():
     import __spark_entry__
 
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_syllables(spark):
+    good = ["nghiêng", "Đường", "quý", "gì", "tách", "Thuở", "a\u0323\u0302m", "khuya"]
+    bad = ["tàch", "đừờng", "straße", "bcé", "làp", "ô\u0301\u0300", "éclair"]
+    df = spark.createDataFrame([(w,) for w in good + bad] + [(None,)], "w string")
+    got = [r["ok"] for r in df.select(syllables.valid_syllable(F.col("w")).alias("ok")).collect()]
+    assert got == [True] * len(good) + [False] * len(bad) + [None]
+    assert one(spark, "Đường straße plain, làp x", syllables.suspicious_words, "string") == ["straße", "làp"]
+
+
+def test_sections_and_preview(spark):
+    rows = spark.createDataFrame([("B", 2, "b|c", None), ("A", 1, "a", "n"), ("B", 1, "b", "m")], "letter string, k int, term string, note string")
+    out = {r["letter"]: r["text"] for r in sinks.table_sections(rows, "letter", ["k"], {"term": "Term", "note": "Note"}).collect()}
+    assert out["A"] == "## A\n\n| Term | Note |\n|---|---|\n| a | n |" and out["B"].split("\n")[4].startswith("| b | m")
+    figs = spark.createDataFrame([("01", "A & B", 3, 1, "<s>", "f.jpg"), ("01", "A & B", 2, 1, None, "g.jpg")], "no string, chapter string, page int, k int, section string, file string")
+    html = sinks.figure_preview(figs).first()["html"]
+    assert "A &amp; B" in html and "&lt;s&gt;" in html and html.index("g.jpg") < html.index("f.jpg")
+
+
+def test_missing_pages_and_commands(spark, tmp_path):
+    for n in (1, 3):
+        (tmp_path / f"page-{n:03d}.json").write_text("[]")
+    assert sorted(r["page"] for r in readers.missing_pages(spark, 1, 4, str(tmp_path)).collect()) == [2, 4]
+    calls = spark.createDataFrame([(1, ['[{"x": 1}, {"x": 2}]']), (2, ["[]"])], "id int, args array<string>")
+    assert [tuple(r) for r in readers.command_rows(calls, "args", ["printf", "%s"], "x int").select("id", "x").collect()] == [(1, 1), (1, 2)]
