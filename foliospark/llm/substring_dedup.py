@@ -63,12 +63,13 @@ def repeated_windows(docs: DataFrame, width: int = 35, gram: int = GRAM) -> Data
                     yield pa.RecordBatch.from_arrays([ids.take(at), ths.take(at), pa.array(m), pa.array(s), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))], ["doc_id", "th", "mh", "sh", "first", "n"])
 
     found = stored(base.mapInArrow(packed(anchor), "doc_id long, th long, mh long, sh long, first int, n int"))
-    twice = found.groupBy("mh").agg(F.count("*").alias("c"), (F.min("sh") != F.max("sh")).alias("mixed")).filter("c > 1").select("mh", "mixed")
+    # Counts are written before they are joined: Spark splits hot keys only where both sides come straight from a shuffle.
+    twice = stored(found.groupBy("mh").agg(F.count("*").alias("c"), (F.min("sh") != F.max("sh")).alias("mixed")).filter("c > 1").select("mh", "mixed"))
     shared = stored(found.join(twice, "mh"))
-    wording = shared.groupBy("mh", "sh").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "first")).alias("rep"))
+    wording = stored(shared.groupBy("mh", "sh").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "first")).alias("rep")))
     marked = stored(shared.join(wording, ["mh", "sh"]).select("doc_id", "th", "first", "n", (F.col("c") > 1).alias("whole"), (F.col("mixed") & F.col("rep").eqNullSafe(F.struct("doc_id", "th", "first"))).alias("lists")).filter("whole OR lists"))
 
-    lists = marked.filter("lists").groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n", "whole")).alias("runs"))
+    lists = marked.filter("lists").groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "n", "whole")).alias("runs"))
     texts = with_runs(base, lists, "inner")
 
     def window(batches):
@@ -82,10 +83,10 @@ def repeated_windows(docs: DataFrame, width: int = 35, gram: int = GRAM) -> Data
                 yield pa.RecordBatch.from_arrays([ids.take(row), ths.take(row), pa.array(run_hashes(h, at, width).view(np.int64)), pa.array(at.astype(np.int32)), pa.array(whole)], ["doc_id", "th", "wh", "at", "whole"])
 
     listed = stored(texts.mapInArrow(packed(window), "doc_id long, th long, wh long, at int, whole boolean"))
-    states = listed.groupBy("wh").agg(F.count("*").alias("c")).filter("c > 1").select("wh")
+    states = stored(listed.groupBy("wh").agg(F.count("*").alias("c")).filter("c > 1").select("wh"))
     single = listed.filter("NOT whole").join(states, "wh").select("doc_id", "th", F.col("at").alias("start"), F.lit(1).alias("n"))
     every = marked.filter("whole").select("doc_id", "th", F.col("first").alias("start"), "n").unionByName(single)
-    return every.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    return every.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
 
 
 def keyed(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
