@@ -79,7 +79,8 @@ def verdicts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source
     stats = measured(docs, keep).withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
     stats = stored(stats)
     on = F.col("a.lang").eqNullSafe(F.col("b.lang")) & F.col("a.source").eqNullSafe(F.col("b.source"))
-    both = stats.alias("a").join(fences(stats).alias("b"), on, "left").select("a.*", *[f"max_{k}" for k in SLACK])
+    limits = stored(fences(stats))  # written, so that Spark knows its size: small ones are broadcast, texts not shuffled
+    both = stats.alias("a").join(limits.alias("b"), on, "left").select("a.*", *[f"max_{k}" for k in SLACK])
     bad = F.lit(False)
     for k, v in ratios().items():
         bad = bad | F.coalesce(v > F.col(f"max_{k}"), F.lit(False))
