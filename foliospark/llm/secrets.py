@@ -64,7 +64,8 @@ def scan(docs: DataFrame, scope: int = SCOPE, carry: bool = False) -> DataFrame:
     ids, secrets, weak = F.size("access") + F.size("ident"), F.size("assign") + F.size("hex") + F.size("weak"), F.size("weak") + F.size("ident") + F.size("endpoint")
     parts = found.filter((ids > 0) & (secrets > 0) & (weak > 0)).select("doc_id", "th", tagged(KINDS).alias("p")).dropDuplicates(["doc_id", "th"])
     linked = link(parts.select("doc_id", "th", F.explode("p").alias("p")).select("doc_id", "th", "p.*"), scope)
-    linked = linked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "k", "kind", "end")).alias("more"))
+    # Written, so that Spark knows its size and leaves the documents where they are while linked parts are few.
+    linked = stored(linked.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "k", "kind", "end")).alias("more")))
     on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.th") == F.col("b.th"))
     empty = F.array().cast("array<struct<start:int,k:int,kind:string,end:int>>")
     return base.alias("a").join(linked.alias("b"), on, "left").select("a.doc_id", *[f"a.{c}" for c in held], "base", F.array_sort(F.concat("base", F.coalesce("more", empty))).alias("spans"))
