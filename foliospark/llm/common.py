@@ -6,10 +6,13 @@ same rule on UTF-8, so the Python stages split encoded text.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,3 +91,17 @@ def _json(values: list) -> str:
     import json
 
     return json.dumps([v.asDict() if hasattr(v, "asDict") else v for v in values])
+
+
+def in_slices(f, rows: int = 512):
+    """``f`` for mapInArrow, fed with slices of so many rows; freed memory goes back to the system when a task ends."""
+
+    def run(batches):
+        yield from f(b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run

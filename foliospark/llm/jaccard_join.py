@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_slices, stored
 from .graph import components
 from .shingles import gram_hashes, mixed, word_hashes
 
@@ -102,21 +102,24 @@ def signatures(s: np.ndarray, classes: Classes) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def search(sets: list[np.ndarray], t: Fraction, pairs=None, every: bool = False) -> list[tuple[int, int]]:
-    """Links (i, j) among sets that join components; with ``every`` all links. ``pairs(i, j)`` may rule pairs out.
+def search(sets: list[np.ndarray], t: Fraction, side: np.ndarray | None = None, every: bool = False) -> list[tuple[int, int]]:
+    """Links (i, j) among sets that join components; with ``every`` all links. With ``side``, sets of one side aren't paired.
 
     DivideSkip: for a query of n shingles and candidates at least t * n large (queries go by size), T = ceil(t n)
     common shingles are needed; the longest lists, fewer than T, are not merged but probed for each candidate.
+    The merge counts how often each document comes up in the short lists, by document number, without sorting.
     """
-    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), i))
-    all_ = np.concatenate([sets[i] for i in order]) if order else np.empty(0, np.uint64)
+    order = np.array(sorted(range(len(sets)), key=lambda i: (len(sets[i]), i)), np.int64)
+    all_ = np.concatenate([sets[i] for i in order]) if len(order) else np.empty(0, np.uint64)
     tokens, token_of = np.unique(all_, return_inverse=True)
-    lengths = np.array([len(sets[i]) for i in order])
+    lengths = np.array([len(sets[i]) for i in order], np.int64)
     ends = np.cumsum(lengths)
     owner = np.repeat(np.arange(len(order)), lengths)
     by_token = np.argsort(token_of, kind="stable")  # inverted lists, queries in order
-    lists, list_end = owner[by_token], np.cumsum(np.bincount(token_of, minlength=len(tokens)))
-    list_at = list_end - np.bincount(token_of, minlength=len(tokens))
+    lists, in_list = owner[by_token], np.bincount(token_of, minlength=len(tokens))
+    list_end = np.cumsum(in_list)
+    list_at = list_end - in_list
+    sides = None if side is None else side[order]
     label = np.arange(len(order))
     links = []
     num, den = t.numerator, t.denominator
@@ -126,37 +129,34 @@ def search(sets: list[np.ndarray], t: Fraction, pairs=None, every: bool = False)
             continue
         own = token_of[ends[q] - n : ends[q]]
         need = -(-num * n // den)
-        size = list_end[own] - list_at[own]
+        size = in_list[own]
         longest = int(size.max())
         if longest < 2:
             continue
         n_long = min(need - 1, int(need / (0.0085 * np.log2(longest) + 1)))
         rank = np.argsort(size, kind="stable")
         short, long_ = own[rank[: n - n_long]], own[rank[n - n_long :]]
-        merged = np.concatenate([lists[list_at[x] : list_end[x]] for x in short])
-        merged = merged[(merged < q) & (lengths[merged] * den >= num * n)] if len(merged) else merged
-        if not len(merged):
-            continue
-        found, hits = np.unique(merged, return_counts=True)
-        found, hits = found[hits >= need - n_long], hits[hits >= need - n_long]
+        merged = np.concatenate([lists[list_at[x] : list_end[x]] for x in short[in_list[short] > 1]] or [lists[:0]])
+        # Large enough documents before q: sizes ascend, so they are the places from least to q.
+        least = int(np.searchsorted(lengths, -(-num * n // den)))
+        hits = np.bincount(merged, minlength=q)[:q]
+        found = least + np.flatnonzero(hits[least:] >= max(1, need - n_long))
+        if sides is not None:
+            found = found[sides[found] != sides[q]]
+        if not every:
+            found = found[label[found] != label[q]]
         long_ = np.sort(long_)
         while len(found):
-            y, have = int(found[0]), int(hits[0])
-            found, hits = found[1:], hits[1:]
-            if not every and label[y] == label[q]:
-                continue
-            if pairs is not None and not pairs(order[q], order[y]):
-                continue
+            y, found = int(found[0]), found[1:]
             other = token_of[ends[y] - lengths[y] : ends[y]]
             at = np.minimum(np.searchsorted(other, long_), len(other) - 1)
-            common = have + int((other[at] == long_).sum()) if len(long_) else have
+            common = int(hits[y]) + (int((other[at] == long_).sum()) if len(long_) else 0)
             if common * den >= num * (n + int(lengths[y]) - common):
-                links.append((order[q], order[y]))
+                links.append((int(order[q]), int(order[y])))
                 if not every:
                     old, new = label[q], label[y]
                     label[label == old] = new
-                    keep = label[found] != new
-                    found, hits = found[keep], hits[keep]
+                    found = found[label[found] != new]
     return links
 
 
@@ -180,7 +180,7 @@ def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, slice_size:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["doc_id", "th", "n", "node"])
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    rows = stored(base.mapInArrow(profile, "doc_id long, th long, n long, node long"))
+    rows = stored(base.mapInArrow(in_slices(profile), "doc_id long, th long, n long, node long"))
     # One row stands for each set; sets under 9 (for 0.9) link only with equal ones.
     least = next(n for n in range(2, 1 << 20) if Fraction(n - 1, n) >= t) - 1
     nodes = rows.filter(F.col("n") >= least).groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("r"))
@@ -200,10 +200,7 @@ def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, slice_size:
                 sig = signatures(shingle_set(x, k), classes)
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(np.full(len(sig), node, np.int64))], ["sig", "node"])
 
-    signed = fetch(reps).mapInArrow(packed(sign), "sig long, node long")
-    # Only the running minimum of a sorted run is held, so a signature's rows are never collected.
-    run = Window.partitionBy("sig").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-    near = signed.withColumn("first", F.min("node").over(run)).filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+    near = same_signature(reps, lambda chosen: fetch(chosen).mapInArrow(in_slices(packed(sign)), "sig long, node long"))
     blocks = stored(components(near))
 
     links = components(linked(fetch(stored(reps.join(blocks, "node"))), t, k, slice_size))
@@ -215,6 +212,25 @@ def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, slice_size:
     return rows.join(comp, "node", "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "root", one.alias("component_id"))
 
 
+def same_signature(reps: DataFrame, signed, sample: int = 20_000, hot_rows: int = 20, salts: int = 64) -> DataFrame:
+    """Edges (u, v) that join all nodes with an equal signature; ``signed(reps)`` gives (sig, node).
+
+    A signature's nodes are sorted and only the running minimum is held. So that a hot signature isn't one task's,
+    the sort of those met ``hot_rows`` times or more in about ``sample`` nodes is dealt over ``salts`` and the
+    least nodes of the salts are joined by a second pass. The sample (a hash test, so reruns agree) decides only
+    the layout, not the edges; the list of hot signatures is bounded by the sample's signatures.
+    """
+    share = min(1 << 20, int((1 << 20) * sample / max(1, reps.count())))
+    few = reps.filter(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 20)) < share)
+    hot = stored(signed(few).groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") >= hot_rows).select("sig", F.lit(True).alias("hot")))
+    rows = signed(reps).join(F.broadcast(hot), "sig", "left")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(salts))).otherwise(0).cast("int")
+    run = lambda *key: F.min("node").over(Window.partitionBy(*key).orderBy("node").rowsBetween(Window.unboundedPreceding, 0))
+    rows = stored(rows.withColumn("salt", salt).withColumn("first", run("sig", "salt")).filter("node <> first OR hot").select("sig", "node", "first"))
+    heads = rows.filter("node = first").select("sig", "node").withColumn("first", run("sig")).filter("node <> first")
+    return rows.filter("node <> first").select("node", "first").unionByName(heads.select("node", "first")).select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
+
+
 def representatives(docs: DataFrame, threshold: str = "0.8", k: int = 5, broadcast_rows: int = 400_000) -> DataFrame:
     """``docs`` with one row of each component left: the smallest doc_id (null last), then text hash. Rows with an empty set all stay."""
     found = stored(classes_of(docs, threshold, k, broadcast_rows=broadcast_rows))
@@ -262,7 +278,7 @@ def linked(members: DataFrame, t: Fraction, k: int, slice_size: int) -> DataFram
             rows = [(node, root, s.tobytes(), classes.of(len(s))) for node, x, root in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()) for s in [shingle_set(x, k)]]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.int32())], ["node", "root", "set", "cls"])
 
-    got = stored(members.select("node", "text", "root").mapInArrow(sets, "node long, root long, set binary, cls int"))
+    got = stored(members.select("node", "text", "root").mapInArrow(in_slices(sets), "node long, root long, set binary, cls int"))
     placed = got.withColumn("block", F.explode(F.array("cls", F.col("cls") + 1)))
     slices = placed.groupBy("root", "block").agg(F.ceil(F.count("*") / slice_size).cast("int").alias("slices"), F.count_distinct("cls").alias("sizes"), F.max("cls").alias("top"))
     # A block of class c holds classes c - 1 and c; where class c is missing, block c - 1 covers it.
@@ -275,7 +291,7 @@ def linked(members: DataFrame, t: Fraction, k: int, slice_size: int) -> DataFram
     def run(key, table):
         nodes, mine = table.column("node").to_numpy(), table.column("mine").to_numpy()
         apart = key[2].as_py() != key[3].as_py()
-        found = search([np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()], t, (lambda a, b: mine[a] != mine[b]) if apart else None)
+        found = search([np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()], t, mine if apart else None)
         return pa.table({"u": pa.array([int(nodes[a]) for a, _ in found], pa.int64()), "v": pa.array([int(nodes[b]) for _, b in found], pa.int64())})
 
     placed = placed.select("root", "block", F.col("key.i").alias("i"), F.col("key.j").alias("j"), "node", "mine", "set")

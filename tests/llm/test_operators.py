@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from foliospark.llm import bpe, fingerprints, html_text, jaccard_join, mixing, quality, secrets, sharding, substring_dedup
+from foliospark.llm import bpe, fingerprints, graph, html_text, jaccard_join, mixing, quality, secrets, sharding, substring_dedup
 
 from . import brute
 
@@ -185,6 +185,19 @@ def test_jaccard(spark, seed, limits):
     assert got(jaccard_join.classes_of(df, **limits), "doc_id", "n_shingles", "component_id") == Counter(brute.jaccard(pairs(rows)))
 
 
+@pytest.mark.parametrize("hot_rows", [1, 3, 1_000])
+def test_hot_signatures(spark, hot_rows):
+    r = random.Random(hot_rows)
+    signed = spark.createDataFrame([(r.choice([1, 1, 1, r.randrange(2, 60)]), n) for n in range(0, 400, 2)] + [(1000 + n, n) for n in range(400)], "sig long, node long").repartition(3)
+    edges = jaccard_join.same_signature(signed.select("node").distinct(), lambda few: signed.join(few, "node").select("sig", "node"), hot_rows=hot_rows, salts=5)
+    of = {x["node"]: x["root"] for x in graph.components(edges).collect()}
+    groups = defaultdict(set)
+    for sig, node in signed.collect():
+        groups[sig].add(node)
+    want = {n: min(g) for g in groups.values() if len(g) > 1 for n in g}
+    assert of == want
+
+
 def test_mixing(docs, rows):
     out = mixing.balance(docs)
     assert got(out, "doc_id", "source", "size") == Counter((r[0], r[3], len(brute.words(r[1]))) for r in rows)
