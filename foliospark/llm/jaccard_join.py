@@ -112,11 +112,14 @@ def search(sets: list[np.ndarray], t: Fraction, side: np.ndarray | None = None,
     order = np.array(sorted(range(len(sets)), key=lambda i: (len(sets[i]), i)), np.int64)
     all_ = np.concatenate([sets[i] for i in order]) if len(order) else np.empty(0, np.uint64)
     tokens, token_of = np.unique(all_, return_inverse=True)
+    token_of = token_of.astype(np.int32)  # a slice pair has far fewer than 2**31 shingles
+    del all_
     lengths = np.array([len(sets[i]) for i in order], np.int64)
     ends = np.cumsum(lengths)
-    owner = np.repeat(np.arange(len(order)), lengths)
-    by_token = np.argsort(token_of, kind="stable")  # inverted lists, queries in order
-    lists, in_list = owner[by_token], np.bincount(token_of, minlength=len(tokens))
+    owner = np.repeat(np.arange(len(order), dtype=np.int32), lengths)
+    lists = owner[np.argsort(token_of, kind="stable")]  # inverted lists, queries in order
+    in_list = np.bincount(token_of, minlength=len(tokens))
+    del owner, tokens
     list_end = np.cumsum(in_list)
     list_at = list_end - in_list
     sides = None if side is None else side[order]
