@@ -1,8 +1,8 @@
-"""HTML main text: page structure first, then a host-wide suffix array for what structure leaves open.
+"""HTML main text: a host-wide suffix array over every page's blocks, with page structure as a prior.
 
-A page's text outside its declared article is a token stream. The suffixes of all streams of a host, cut to
-``DEPTH`` tokens, are sorted into runs of equal prefixes by a shuffle, so no task holds a host; a run that spans
-distinct pages is a repeated substring. What such runs cover is boilerplate; unique runs of open blocks stay.
+A page's blocks, without those that structure sets aside, are a token stream. The suffixes of all streams of a host,
+cut to ``DEPTH`` tokens, are grouped by a shuffle, so no task holds a host. Heads on many distinct pages form maximal
+repeats; a repeat whose pages go on in different ways at one of its ends is boilerplate, also inside an article.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from xxhash import xxh3_64_intdigest
 from .common import stored
 
 DEPTH = 6
-#: An open page of which repeats cover more than this share is a copy, not boilerplate.
-COPY_SHARE = 0.6
+#: Repeats that only two pages hold are copied text, not boilerplate, from so many tokens in a page.
+COPIED = 50
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 # Element names and the words in class, id and role that mark what isn't the article.
@@ -105,64 +105,103 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def suffix_heads(texts: list[str]) -> list[int]:
-    """Hashes of the DEPTH-token heads of a stream's suffixes; blocks are parted by a mark of their own."""
-    tokens = [t for x in texts for t in (*x.split(" "), "\n")]
-    out = [xxh3_64_intdigest(" ".join(tokens[i : i + DEPTH])) for i in range(len(tokens) - DEPTH + 1)]
+def stream(texts: list[str]) -> list[str]:
+    """Tokens of the blocks; blocks are parted by a mark of their own."""
+    return [t for x in texts for t in (*x.split(" "), "\n")]
+
+
+def suffix_heads(host: str, texts: list[str]) -> list[int]:
+    """Hashes of the host and the DEPTH-token heads of a stream's suffixes."""
+    tokens = stream(texts)
+    out = [xxh3_64_intdigest(" ".join(tokens[i : i + DEPTH]), seed) for seed in [xxh3_64_intdigest(host)] for i in range(len(tokens) - DEPTH + 1)]
     return [x - (1 << 64) if x >> 63 else x for x in out]
 
 
-def unique_runs(texts: list[str], repeated: set[int]) -> str:
-    """Text of the stream without the tokens that repeated heads cover."""
-    tokens = [t for x in texts for t in (*x.split(" "), "\n")]
-    gone = [False] * len(tokens)
-    for i in repeated:
-        gone[i : i + DEPTH] = [True] * (min(len(tokens), i + DEPTH) - i)
-    words = [i for i, t in enumerate(tokens) if t != "\n"]
-    if sum(gone[i] for i in words) > COPY_SHARE * len(words):
-        return " ".join(texts)
-    return " ".join(tokens[i] for i in words if not gone[i])
+def boilerplate(spots: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
+    """Token ranges of the maximal repeats that are boilerplate; a spot is (at, pages, ways before, ways after).
+
+    A repeat ends where its heads end or where their number of pages halves or doubles. Copies of a page go on alike
+    at both ends, boilerplate doesn't at one end at least.
+    """
+    out, pairs, run = [], [], []
+    for spot in [*sorted(spots), None]:
+        if run and (spot is None or spot[0] != run[-1][0] + 1 or spot[1] > 2 * run[-1][1] or 2 * spot[1] < run[-1][1]):
+            first, last = run[0], run[-1]
+            if 2 * first[2] > first[1] or 2 * last[3] > last[1]:
+                (pairs if max(x[1] for x in run) == 2 else out).append((first[0], last[0] + DEPTH))
+            run = []
+        run.append(spot)
+    return out + (pairs if sum(b - a for a, b in pairs) < COPIED else [])
+
+
+def pruned(texts: list[str], inside: list[bool], ranges: list[tuple[int, int]]) -> str:
+    """Text of the article's blocks (without one: of all blocks) outside the ranges of the stream."""
+    whole, out, at = not any(inside), [], 0
+    gone = {i for a, b in ranges for i in range(a, b)}
+    for text, own in zip(texts, inside):
+        words = text.split(" ")
+        if whole or own:
+            out += [w for i, w in enumerate(words, at) if i not in gone]
+        at += len(words) + 1
+    return " ".join(out)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row.
 
-    A declared article (article, main) is the main text, without the parts that structure sets aside; a page
-    without one keeps the unique runs of its open blocks. Null, empty or all-boilerplate pages give empty text; a
-    null url is a host of its own; equal pages don't count as distinct, so a copy keeps its text; an empty table
-    gives no rows; other columns are not read.
+    The main text is the declared article (article, main), else the page's open blocks, without the parts that
+    structure sets aside and without boilerplate: repeats on at least the square root of the host's distinct pages
+    (two at least). Null, empty or all-boilerplate pages give empty text; a null url is a host of its own; equal
+    pages don't count as distinct, so a copy keeps its text; an empty table gives no rows; other columns are not read.
     """
-    names = ["page_id", "url", "host", "th", "text", "blocks", "heads"]
 
     def parse(batches):
         for b in batches:
             rows = []
-            for url, src in zip(b.column(1).to_pylist(), b.column(3).to_pylist()):
-                found = page_blocks(src)
-                article = [t for t, inside, aside in found if inside and not aside]
-                beside = [t for t, inside, _ in found if not inside]
-                open_ = [] if article else [t for t, inside, aside in found if not aside]
-                rows.append((host_of(url), " ".join(article) if article or not open_ else None, open_, suffix_heads(open_ if open_ else beside)))
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
-            types = (pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()))
-            h, t, o, g = (pa.array(c, k) for c, k in zip(cols, types))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), h, b.column(2), t, o, g], names)
-
-    base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.xxhash64("html").alias("th"), "html")
-    parsed = stored(base.mapInArrow(parse, "page_id long, url string, host string, th long, text string, blocks array<string>, heads array<long>"))
-    heads = parsed.select("host", "th", F.explode("heads").alias("head"))
-    repeated = heads.groupBy("host", "head").agg(F.min("th").alias("a"), F.max("th").alias("b")).filter("a <> b").select("host", "head")
-    still = parsed.filter("text IS NULL")
-    spots = still.select("host", "page_id", "url", "th", F.posexplode("heads").alias("at", "head")).join(repeated, ["host", "head"])
-    spots = spots.groupBy("page_id", "url", "th").agg(F.collect_set("at").alias("spots"))
-    on = F.col("a.page_id").eqNullSafe(F.col("b.page_id")) & F.col("a.url").eqNullSafe(F.col("b.url")) & (F.col("a.th") == F.col("b.th"))
-    judged = still.alias("a").join(spots.alias("b"), on, "left").select("a.page_id", "a.url", "blocks", F.coalesce("spots", F.array().cast("array<int>")).alias("spots"))
+            for url, src in zip(b.column(2).to_pylist(), b.column(4).to_pylist()):
+                found = [(t, inside) for t, inside, aside in page_blocks(src) if not aside]
+                rows.append((host_of(url), [t for t, _ in found], [x for _, x in found]))
+            cols = list(zip(*rows)) if rows else [[], [], []]
+            h, t, i = (pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()))))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), h, b.column(3), t, i], ["uid", "page_id", "url", "host", "th", "blocks", "inside"])
+
+    def heads_of(batches):
+        for b in batches:
+            keys, need = [], []
+            for host, texts, n in zip(*(c.to_pylist() for c in b.columns)):
+                own = set(suffix_heads(host, texts))
+                keys += own
+                need += [n] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(need, pa.int32())], ["key", "need"])
+
+    def spots_of(batches):
+        for b in batches:
+            cols = [[], [], [], [], []]
+            for uid, host, texts in zip(*(c.to_pylist() for c in b.columns)):
+                keys = suffix_heads(host, texts)
+                edge = [0] * min(DEPTH, len(keys))
+                for col, new in zip(cols, ([uid] * len(keys), range(len(keys)), keys, edge + keys[:-DEPTH], keys[DEPTH:] + edge)):
+                    col += new
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["uid", "at", "key", "before", "after"])
+
+    base = pages.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url", F.xxhash64("html").alias("th"), "html")
+    parsed = stored(base.mapInArrow(parse, "uid long, page_id long, url string, host string, th long, blocks array<string>, inside array<boolean>"))
+    copies = parsed.groupBy("host", "th").agg(F.min("uid").alias("first"), F.count("*").alias("n"), F.max(F.size("blocks")).alias("size"))
+    copies = stored(copies)
+    needs = stored(copies.filter("size > 0").groupBy("host").agg(F.greatest(F.lit(2), F.ceil(F.sqrt(F.count("*")))).cast("int").alias("need")))
+    again = stored(copies.filter("n > 1").select("host", "th", "first"))  # written, so that Spark knows the sizes and moves no texts for small ones
+    distinct = parsed.join(again, ["host", "th"], "left").filter("first IS NULL OR first = uid").join(needs, "host")
+    held = distinct.select("host", "blocks", "need").mapInArrow(heads_of, "key long, need int")
+    repeated = stored(held.groupBy("key").agg(F.count("*").alias("pages"), F.max("need").alias("need")).filter("pages >= need").select("key", "pages"))
+    spots = stored(parsed.select("uid", "host", "blocks").mapInArrow(spots_of, "uid long, at long, key long, before long, after long").join(repeated, "key"))
+    ways = lambda c: spots.select("key", c).distinct().groupBy("key").agg(F.count("*").alias(c))
+    ways = stored(ways("before").join(ways("after"), "key"))
+    by_page = spots.select("uid", "at", "key", "pages").join(ways, "key").groupBy("uid").agg(F.collect_list(F.struct("at", "pages", "before", "after")).alias("spots"))
 
     def prune(batches):
         for b in batches:
-            texts = [unique_runs(t, set(s)) for t, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            texts = [pruned(t, i, boilerplate([tuple(x.values()) for x in s or []])) for t, i, s in zip(*(c.to_pylist() for c in b.columns[2:]))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    pruned = judged.mapInArrow(prune, "page_id long, url string, text string")
-    whole = parsed.filter("text IS NOT NULL").select("page_id", "url", "text").unionByName(pruned)
-    return whole.withColumn("n_chars", F.char_length("text").cast("long"))
+    judged = parsed.join(stored(by_page), "uid", "left").select("page_id", "url", "blocks", "inside", "spots")
+    return judged.mapInArrow(prune, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))

@@ -240,6 +240,24 @@ def test_html(spark):
     assert out.filter("n_chars <> char_length(text)").count() == 0
 
 
+def unlike(r: random.Random, n: int) -> str:
+    return " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
+
+
+def texts_of(spark, bodies: list[str]) -> list[str]:
+    rows = [(i, "http://h/x", page(b)) for i, b in enumerate(bodies)]
+    return [x["text"] for x in html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).sort("page_id").collect()]
+
+
+def test_html_repeats_inside_articles(spark):
+    r = random.Random(3)
+    own = [unlike(r, 40) for _ in range(9)]
+    phrase = unlike(r, 8)
+    own[0], own[1] = f"{own[0]} {phrase} {own[0][::-1]}", f"{own[1]} {phrase} {own[1][::-1]}"
+    plea = "<p>Please subscribe to our weekly letter right now</p>"
+    assert texts_of(spark, [f"<article><p>{t}</p>{plea if i % 2 else ''}</article>" for i, t in enumerate(own)]) == own
+
+
 def test_empty_tables(nothing, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     for f in (substring_dedup.dedup, lambda d: bpe.token_counts(d, path), lambda d: bpe.round_trip(d, path), fingerprints.edited_fingerprints, secrets.scan, sharding.shard_by_bytes, quality.verdicts, jaccard_join.classes_of, mixing.balance):
