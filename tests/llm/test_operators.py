@@ -258,6 +258,16 @@ def test_html_repeats_inside_articles(spark):
     assert texts_of(spark, [f"<article><p>{t}</p>{plea if i % 2 else ''}</article>" for i, t in enumerate(own)]) == own
 
 
+def test_html_stubs_and_copies(spark):
+    r = random.Random(4)
+    long, own = unlike(r, 120), [unlike(r, 7) for _ in range(9)]
+    assert texts_of(spark, [f"<div>{long}</div><p>{t}</p>" for t in own] + [f"<div>{long}</div>"]) == [*own, ""]
+    story = unlike(r, 200).split(" ")
+    near = [" ".join(story[:k] + [f"edit{k}"] + story[k + 1 :]) for k in range(20, 180, 20)]
+    assert texts_of(spark, [f"<article>{t}</article>" for t in near + own]) == near + own
+    assert texts_of(spark, [f"<article>{t}</article>" for t in near[:2]]) == near[:2]
+
+
 def test_empty_tables(nothing, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     for f in (substring_dedup.dedup, lambda d: bpe.token_counts(d, path), lambda d: bpe.round_trip(d, path), fingerprints.edited_fingerprints, secrets.scan, sharding.shard_by_bytes, quality.verdicts, jaccard_join.classes_of, mixing.balance):
