@@ -295,10 +295,11 @@ def contact_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def dropped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark lines against a document that holds their first four words; lines it covers less than 0.8."""
+    """Benchmark lines against every document that holds their first four words; those it covers less than 0.8, and lines that no document holds (null page, cover 0)."""
     b = table(spark, sf_dir, "benchmark").select("item_id", F.array(F.array_join(F.slice(F.split(F.trim(text.clean(F.col("text"))), " "), 1, 4), " ")).alias("parts"), text.norm(F.col("text")).alias("line"))
     d = table(spark, sf_dir, "documents").select("doc_id", text.clean(F.col("text")).alias("t"))
-    pair = joins.containing(b, d, "parts", "t").groupBy("item_id", "line").agg(F.min("doc_id").alias("page"))
+    found = joins.containing(b, d, "parts", "t").select("item_id", F.col("doc_id").alias("page")).distinct()
+    pair = b.select("item_id", "line").join(found, "item_id", "left")
     hay = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), text.norm(F.col("text")).alias("text"))
     return audits.dropped(pair, hay).select("item_id", "page", "cover")
 

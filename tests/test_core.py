@@ -189,6 +189,18 @@ def test_dropped_and_other_pass(spark):
     assert [r["line"] for r in audits.other_pass(lines, corpus, second).collect()] == ["zyxwvutsrqponmlk"]
 
 
+def test_dropped_lines_of_every_document(spark, tmp_path):
+    from foliospark.plans import queries
+
+    whole = "one two three four five six seven eight nine ten"
+    items = [(1, whole), (2, "nobody holds these few words")]
+    docs = [(1, f"x {whole} y"), (2, "One two three four, and then quite another matter"), (3, f"{whole}.")]
+    spark.createDataFrame(items, "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {(r["item_id"], r["page"]): r["cover"] for r in queries.dropped_lines(spark, str(tmp_path)).collect()}
+    assert set(out) == {(1, 2), (2, None)} and out[2, None] == 0 and 0 < out[1, 2] < 0.8
+
+
 def test_layout(spark):
     rows = [(1, 0, "text", "First part,", 0.1, 0.1, 0.1, 0.02), (1, 1, "text", "goes on", 0.1, 0.12, 0.1, 0.02), (1, 2, "text", "New one", 0.15, 0.14, 0.1, 0.02), (2, 0, "text", "and ends.", 0.1, 0.1, 0.1, 0.02)]
     blocks = layout.paragraphs(spark.createDataFrame(rows, "page int, row_no int, kind string, text string, x double, y double, margin double, step double"))
