@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def mode_near(df: DataFrame, by: list[str], value: str, near: str, out: str) -> DataFrame:
@@ -31,17 +32,33 @@ def voted(p: Column, a: Column, b: Column) -> Column:
     )
 
 
+def readings(x: list, y: list) -> list:
+    """For every word of ``x`` its word of ``y`` in equal runs and in replacements of equal length, else None."""
+    if x == y:
+        return list(y)
+    found: list = [None] * len(x)
+    for op, i1, i2, j1, j2 in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
+        if op == "equal" or op == "replace" and i2 - i1 == j2 - j1:
+            found[i1:i2] = y[j1:j2]
+    return found
+
+
+@F.pandas_udf(StructType([StructField(c, LongType()) for c in ("words", "aligned", "changed")]))
+def alignment(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Counts of the words of ``a``, those that ``b`` has a word for, and those whose word differs."""
+    rows = []
+    for x, y in zip(a, b):
+        got = readings(list(x), list(y))
+        rows.append((len(got), sum(w is not None for w in got), sum(w is not None and w != v for v, w in zip(x, got))))
+    return pd.DataFrame(rows, columns=["words", "aligned", "changed"], dtype="int64")
+
+
 def aligned(primary: DataFrame, other: DataFrame, by: list[str], out: str) -> DataFrame:
     """Adds ``out`` to every primary word (by, pos, word): the word of the other pass in equal runs and in replacements of equal length, else null. Pages are independent groups."""
     keys = ", ".join(f"{c} {primary.schema[c].dataType.simpleString()}" for c in by)
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         a, b = a.sort_values("pos"), b.sort_values("pos")
-        x, y = a["word"].tolist(), b["word"].tolist()
-        found: list = [None] * len(x)
-        for op, i1, i2, j1, j2 in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
-            if op == "equal" or op == "replace" and i2 - i1 == j2 - j1:
-                found[i1:i2] = y[j1:j2]
-        return a[[*by, "pos", "word"]].assign(**{out: found})
+        return a[[*by, "pos", "word"]].assign(**{out: readings(a["word"].tolist(), b["word"].tolist())})
 
     return primary.select(*by, "pos", "word").groupBy(*by).cogroup(other.select(*by, "pos", "word").groupBy(*by)).applyInPandas(run, f"{keys}, pos int, word string, {out} string")

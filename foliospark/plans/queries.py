@@ -306,12 +306,20 @@ def dropped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def aligned_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with the same first forty characters, the second aligned to the first word by word."""
-    d = table(spark, sf_dir, "documents").filter("n_chars >= 200").select("doc_id", F.substring("text", 1, 40).alias("head"), "text")
-    g = d.groupBy("head").agg(F.min_by("text", "doc_id").alias("a"), F.max_by("text", "doc_id").alias("b"), F.min("doc_id").alias("page"), F.max("doc_id").alias("other")).filter("page < other")
-    side = lambda c: g.select("page", F.posexplode(text.tokens(F.col(c))).alias("pos", "word"))
-    got = vote.aligned(side("a"), side("b"), ["page"], "reading").groupBy("page").agg(F.count("*").alias("words"), F.count("reading").alias("aligned"), F.count_if(F.col("reading") != F.col("word")).alias("changed"))
-    return got.join(g.select("page", similar(F.substring("a", 1, 400), F.substring("b", 1, 400)).alias("likeness")), "page")
+    """Every copy of a text aligned word by word to the first text of its group (``page``); equal texts are compared once."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2("text", 256).alias("same"))
+    group = d.filter("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"))
+    reps = d.join(group.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    first = joins.first_copies(reps.select("doc_id", F.filter(F.split(text.clean(F.col("text")), " "), lambda w: w != "").alias("words")), "doc_id", "words")
+    star = group.join(first.withColumnRenamed("doc_id", "rep"), "rep", "left").select("same", "rep", F.coalesce("first", "rep").alias("page"))
+    side = lambda c, t: reps.select(F.col("doc_id").alias(c), F.col("text").alias(t))
+    both = star.filter("page < rep").join(side("page", "a"), "page").join(side("rep", "b"), "rep").repartition("rep")
+    far = both.select("same", "page", vote.alignment(text.tokens(F.col("a")), text.tokens(F.col("b"))).alias("got"), similar(text.norm(F.col("a")), text.norm(F.col("b"))).alias("likeness"))
+    n = F.size(text.tokens(F.col("a"))).cast("long")
+    near = star.filter("page = rep").join(side("page", "a"), "page").filter(n > 0)
+    near = near.select("same", "page", F.struct(n.alias("words"), n.alias("aligned"), F.lit(0).cast("long").alias("changed")).alias("got"), F.lit(1.0).alias("likeness"))
+    got = d.select("same", F.col("doc_id").alias("other")).join(far.unionByName(near), "same").filter("other > page")
+    return got.select("page", "other", "got.*", "likeness")
 
 
 @query()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,6 +203,32 @@ def test_dropped_lines_of_every_document(spark, tmp_path):
     assert set(out) == {(1, 2), (2, None)} and out[2, None] == 0 and 0 < out[1, 2] < 0.8
 
 
+def test_aligned_copies_of_a_whole_group(spark, tmp_path):
+    import random
+    from difflib import SequenceMatcher
+
+    from foliospark.plans import queries
+
+    r = random.Random(5)
+    word = lambda: f"{r.choice('abcdefgh')}{r.randrange(10**6)}"
+    base = [word() for _ in range(120)]
+    edit = lambda at: " ".join(base[:at] + [word()] + base[at + 1 :])
+    docs = [(1, " ".join(base)), (2, edit(0)), (3, edit(110)), (4, " ".join(base)), (5, " ".join(base + [word(), word()])), (6, "tiny text"), (7, "tiny text"), (8, " ".join(word() for _ in range(90))), (9, "Tiny, text"), (10, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))}
+    words = {k: re.sub("[^a-z0-9]+", " ", t.lower()).split() for k, t in docs if t}
+    want = {}
+    for k in words:
+        firsts = [j for j in words if j < k and 2 * len(grams(words[j]) & grams(words[k])) >= max(len(grams(words[j])), len(grams(words[k])))]
+        if firsts:
+            x, y = (dict(docs)[j].split() for j in (min(firsts), k))
+            ops = [o for o in SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if o[0] == "equal" or o[0] == "replace" and o[2] - o[1] == o[4] - o[3]]
+            a, b = ("".join(words[j]) for j in (min(firsts), k))
+            want[k] = (min(firsts), len(x), sum(o[2] - o[1] for o in ops), sum(o[2] - o[1] for o in ops if o[0] == "replace"), SequenceMatcher(None, a, b).ratio())
+    assert set(want) == {2, 3, 4, 5, 7, 9}
+    assert {r["other"]: (r["page"], r["words"], r["aligned"], r["changed"], r["likeness"]) for r in queries.aligned_copies(spark, str(tmp_path)).collect()} == want
+
+
 def test_layout(spark):
     rows = [(1, 0, "text", "First part,", 0.1, 0.1, 0.1, 0.02), (1, 1, "text", "goes on", 0.1, 0.12, 0.1, 0.02), (1, 2, "text", "New one", 0.15, 0.14, 0.1, 0.02), (2, 0, "text", "and ends.", 0.1, 0.1, 0.1, 0.02)]
     blocks = layout.paragraphs(spark.createDataFrame(rows, "page int, row_no int, kind string, text string, x double, y double, margin double, step double"))
