@@ -286,3 +286,14 @@ def test_missing_pages_and_commands(spark, tmp_path):
     assert sorted(r["page"] for r in readers.missing_pages(spark, 1, 4, str(tmp_path)).collect()) == [2, 4]
     calls = spark.createDataFrame([(1, ['[{"x": 1}, {"x": 2}]']), (2, ["[]"])], "id int, args array<string>")
     assert [tuple(r) for r in readers.command_rows(calls, "args", ["printf", "%s"], "x int").select("id", "x").collect()] == [(1, 1), (1, 2)]
+
+
+def test_bench_runs_every_query(spark, monkeypatch, capsys):
+    import json
+
+    import __spark_entry__
+    import bench
+
+    monkeypatch.setattr(__spark_entry__, "queries", lambda: {n: lambda s, _: s.range(1) for n in ("op7_sharding", "pipeline")})
+    bench.main()
+    assert set(json.loads(capsys.readouterr().out.splitlines()[-1])["queries"]) == {"op7_sharding", "pipeline"}
