@@ -311,7 +311,7 @@ def aligned_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     group = d.filter("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"))
     reps = d.join(group.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     first = joins.first_copies(reps.select("doc_id", F.filter(F.split(text.clean(F.col("text")), " "), lambda w: w != "").alias("words")), "doc_id", "words")
-    star = group.join(first.withColumnRenamed("doc_id", "rep"), "rep", "left").select("same", "rep", F.coalesce("first", "rep").alias("page"))
+    star = group.join(first.withColumnRenamed("doc_id", "rep"), "rep", "left").select("same", "rep", F.coalesce("first", "rep").alias("page")).persist()
     side = lambda c, t: reps.select(F.col("doc_id").alias(c), F.col("text").alias(t))
     both = star.filter("page < rep").join(side("page", "a"), "page").join(side("rep", "b"), "rep").repartition("rep")
     far = both.select("same", "page", vote.alignment(text.tokens(F.col("a")), text.tokens(F.col("b"))).alias("got"), similar(text.norm(F.col("a")), text.norm(F.col("b"))).alias("likeness"))
