@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_slices
+from .common import in_arrow
 
 CACHE = 400_000  # pre-tokens a worker remembers; beyond that it keeps those of the block at hand
 SPACE = r"\p{White_Space}"
@@ -213,7 +213,7 @@ def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(in_slices(run, 2_048), schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
 
 
 def frequent(docs: DataFrame, path: str, size: int = 32_768) -> dict[str, int]:

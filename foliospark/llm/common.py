@@ -11,6 +11,7 @@ import gc
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+ARROW_ROWS = 1_024
+BROADCAST_BYTES = 8 << 20
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -36,11 +39,58 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Once it is written, Spark removes the shuffle files of the write; ``discard`` removes the table itself.
+    """
     spark = session_of(df)
     path = f"{shared_dir(spark)}/folio/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folio_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``stored`` that no later result reads (each was followed by another stored table)."""
+    for df in tables:
+        jvm = session_of(df).sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.folio_path)
+        path.getFileSystem(session_of(df).sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def small(table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table of fixed-width columns, marked for broadcast if its rows take ``limit`` bytes at most; else Spark picks the join."""
+    return F.broadcast(table) if table.count() * row_bytes <= limit else table
+
+
+def in_arrow(df: DataFrame, f, schema: str) -> DataFrame:
+    """``df.mapInArrow`` in batches of at most ARROW_ROWS rows, where the session has Spark's own default, so that whole texts need little memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if session_of(df).conf.get(key) == "10000":
+        session_of(df).conf.set(key, str(ARROW_ROWS))
+    return df.mapInArrow(trimmed(f), schema)
+
+
+def packed_rows(df: DataFrame, **keys: Column) -> DataFrame:
+    """All columns of df in one struct ``row`` beside ``keys``, so that no input name can clash; ``row.*`` unpacks."""
+    return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"), *[v.alias(k) for k, v in keys.items()])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def words(text: Column | str) -> Column:
@@ -93,11 +143,11 @@ def _json(values: list) -> str:
     return json.dumps([v.asDict() if hasattr(v, "asDict") else v for v in values])
 
 
-def in_slices(f, rows: int = 512):
-    """``f`` for mapInArrow, fed with slices of so many rows; freed memory goes back to the system when a task ends."""
+def trimmed(f):
+    """``f`` for mapInArrow; freed memory goes back to the system when a task ends."""
 
     def run(batches):
-        yield from f(b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
+        yield from f(batches)
         gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -105,3 +155,20 @@ def in_slices(f, rows: int = 512):
             trim(0)
 
     return run
+
+
+def packed(f, size: int = 100_000):
+    """Joins the small batches of f to larger ones."""
+
+    def run(batches):
+        held, n = [], 0
+        for b in f(batches):
+            held.append(b)
+            n += b.num_rows
+            if n >= size:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, n = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return run

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of the edges (u, v); root is the smallest node reachable. Self-loops are kept.
+    """(node, root), stored, for every node of the edges (u, v); root is the smallest node reachable. Self-loops are kept.
 
     It is done when the edges are stars: a node that points to a smaller one is pointed to by none and has one edge.
     """
@@ -17,10 +17,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if _stars(e):
             break
-        e = stored(_small(_large(e)))
+        before, e = e, stored(_small(_large(e)))
+        discard(before)
     else:
         raise RuntimeError("components did not settle")
-    return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+    ends = e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")))
+    out = stored(ends.groupBy("node").agg(F.min("root").alias("root")))
+    discard(e)
+    return out
 
 
 def _stars(e: DataFrame) -> bool:

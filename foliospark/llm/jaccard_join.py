@@ -1,12 +1,13 @@
 """N-gram Jaccard join: T-occurrence search with DivideSkip inside blocks that exact signatures bring together.
 
-1. A document's set of three-word shingles becomes sorted 64-bit hashes; equal sets are one node.
+1. A document's set of shingles becomes sorted 64-bit hashes; equal sets are one node.
 2. A node is cut into parts by shingle hash. Two sets that reach the threshold differ in at most d shingles, d by
    size class, so of m = d + 1 + s parts at least 1 + s are equal; thin parts (at most two shingles, fewer where
    parts are small) are left out unless a node has more than s of them. Equal parts of one class bring nodes together, with no link lost.
-3. Nodes joined by equal parts form blocks; a block is searched by size class, in pairs of slices of bounded size.
-   In a slice pair every node is a query: short inverted lists are merged, candidates are looked up in the long
-   ones, and those that reach the required overlap are linked.
+   A task reports an equal part once, whatever the number of its nodes that have it.
+3. Nodes joined by equal parts form blocks. A block is searched as a whole, or, beyond a number of shingles, by size
+   class in pairs of slices of so many shingles. Every node that isn't reached yet is a query: short inverted lists are
+   merged, long ones are probed for the candidates, and those that reach the required overlap are linked and leave the lists.
 """
 
 from __future__ import annotations
@@ -17,14 +18,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_slices, stored
+from .common import discard, in_arrow, packed, packed_rows, small, stored
 from .graph import components
 from .shingles import gram_hashes, mixed, word_hashes
 
 THIN = 2  # at most; classes with few shingles a part use less
+SHINGLES = 1_000_000  # in a slice of a block, and signatures that a task holds at once
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -102,68 +104,93 @@ def signatures(s: np.ndarray, classes: Classes) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def search(sets: list[np.ndarray], t: Fraction, side: np.ndarray | None = None, every: bool = False) -> list[tuple[int, int]]:
-    """Links (i, j) among sets that join components; with ``every`` all links. With ``side``, sets of one side aren't paired.
+def search(sets: list[np.ndarray], t: Fraction) -> list[tuple[int, int]]:
+    """Links (i, j) that join the components of the sets, with no component split.
 
-    DivideSkip: for a query of n shingles and candidates at least t * n large (queries go by size), T = ceil(t n)
-    common shingles are needed; the longest lists, fewer than T, are not merged but probed for each candidate.
-    The merge counts how often each document comes up in the short lists, by document number, without sorting.
+    A breadth-first search whose every step is a T-occurrence query: a set of n shingles links only with sets that
+    hold T = ceil(t n) of them (and are neither smaller than t n nor larger than n / t). DivideSkip: the longest
+    lists, fewer than T, are not merged but probed for each candidate of the others. Reached sets leave the lists,
+    so a group of near copies costs little more than one query. The merge counts by document number.
     """
-    order = np.array(sorted(range(len(sets)), key=lambda i: (len(sets[i]), i)), np.int64)
-    all_ = np.concatenate([sets[i] for i in order]) if len(order) else np.empty(0, np.uint64)
-    tokens, token_of = np.unique(all_, return_inverse=True)
-    token_of = token_of.astype(np.int32)  # a slice pair has far fewer than 2**31 shingles
-    del all_
-    lengths = np.array([len(sets[i]) for i in order], np.int64)
-    ends = np.cumsum(lengths)
-    owner = np.repeat(np.arange(len(order), dtype=np.int32), lengths)
-    lists = owner[np.argsort(token_of, kind="stable")]  # inverted lists, queries in order
-    in_list = np.bincount(token_of, minlength=len(tokens))
-    del owner, tokens
-    list_end = np.cumsum(in_list)
-    list_at = list_end - in_list
-    sides = None if side is None else side[order]
-    label = np.arange(len(order))
-    links = []
     num, den = t.numerator, t.denominator
-    for q in range(len(order)):
-        n = int(lengths[q])
-        if n == 0:
-            continue
-        own = token_of[ends[q] - n : ends[q]]
+    order = np.array(sorted(range(len(sets)), key=lambda i: (len(sets[i]), i)), np.int64)
+    sizes = np.array([len(sets[i]) for i in order], np.int64)
+    flat = np.concatenate([sets[i] for i in order]) if len(order) else np.empty(0, np.uint64)
+    token = np.unique(flat, return_inverse=True)[1].astype(np.int32)  # a slice pair has far fewer than 2**31 shingles
+    del flat
+    doc = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+    shared = np.bincount(token)[token] > 1 if len(token) else np.empty(0, bool)
+    token, doc = token[shared], doc[shared]
+    n_tokens = int(token.max()) + 1 if len(token) else 0
+    own_at = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(order)))])
+    lists = doc[np.argsort(token, kind="stable")]
+    held = np.bincount(token, minlength=n_tokens)
+    list_at = np.concatenate([[0], np.cumsum(held)])
+    weight = np.bincount(doc, weights=held[token], minlength=len(order))
+    del doc, shared
+    open_, left, built, links = np.ones(len(order), bool), len(order), len(order), []
+
+    def linked(q: int) -> np.ndarray:
+        n = int(sizes[q])
         need = -(-num * n // den)
-        size = in_list[own]
-        longest = int(size.max())
-        if longest < 2:
-            continue
-        n_long = min(need - 1, int(need / (0.0085 * np.log2(longest) + 1)))
-        rank = np.argsort(size, kind="stable")
-        short, long_ = own[rank[: n - n_long]], own[rank[n - n_long :]]
-        merged = np.concatenate([lists[list_at[x] : list_end[x]] for x in short[in_list[short] > 1]] or [lists[:0]])
-        # Large enough documents before q: sizes ascend, so they are the places from least to q.
-        least = int(np.searchsorted(lengths, -(-num * n // den)))
-        hits = np.bincount(merged, minlength=q)[:q]
-        found = least + np.flatnonzero(hits[least:] >= max(1, need - n_long))
-        if sides is not None:
-            found = found[sides[found] != sides[q]]
-        if not every:
-            found = found[label[found] != label[q]]
-        long_ = np.sort(long_)
-        while len(found):
-            y, found = int(found[0]), found[1:]
-            other = token_of[ends[y] - lengths[y] : ends[y]]
-            at = np.minimum(np.searchsorted(other, long_), len(other) - 1)
-            common = int(hits[y]) + (int((other[at] == long_).sum()) if len(long_) else 0)
-            if common * den >= num * (n + int(lengths[y]) - common):
-                links.append((int(order[q]), int(order[y])))
-                if not every:
-                    old, new = label[q], label[y]
-                    label[label == old] = new
-                    found = found[label[found] != new]
+        own = token[own_at[q] : own_at[q + 1]]
+        length = list_at[own + 1] - list_at[own]
+        own, length = own[length > 0], length[length > 0]
+        if n == 0 or len(own) < need:
+            return own[:0]
+        n_long = min(need - 1, int(need / (0.0085 * np.log2(max(2, length.max())) + 1)))
+        rank = np.argsort(length, kind="stable")
+        short, long_ = own[rank[: len(own) - n_long]], own[rank[len(own) - n_long :]]
+        least, past = np.searchsorted(sizes, [need, n * den // num + 1])
+        merged = np.concatenate([lists[list_at[x] : list_at[x + 1]] for x in short])
+        merged = merged[(merged >= least) & (merged < past)] - least
+        hits = np.bincount(merged, minlength=past - least)
+        hits[~open_[least:past]] = 0
+        found = np.flatnonzero(hits >= max(1, need - n_long))
+        common, found = hits[found], found + least
+        for x in long_ if len(found) else ():
+            one = lists[list_at[x] : list_at[x + 1]]
+            common += one[np.minimum(np.searchsorted(one, found), len(one) - 1)] == found
+        return found[common * den >= num * (n + sizes[found] - common)]
+
+    for start in np.argsort(-weight, kind="stable"):
+        todo = [int(start)] * bool(open_[start])
+        left -= len(todo)
+        open_[start] = False
+        while todo and left:
+            q = todo.pop()
+            found = linked(q)
+            open_[found] = False
+            left -= len(found)
+            links += [(int(order[q]), int(order[y])) for y in found]
+            todo += found.tolist()
+            if 2 * left < built:  # lists without the sets that have been reached
+                still = open_[lists]
+                list_at = np.concatenate([[0], np.cumsum(still)])[list_at]
+                lists, built = lists[still], left
+        if not left:
+            break
     return links
 
 
-def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, slice_size: int = 4_000, broadcast_rows: int = 400_000) -> DataFrame:
+def equal_parts(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """(sig, node, first) of some nodes' signatures: the least node of each, and with ``first`` its edges to the others."""
+    held = sorted(held, key=lambda x: x[0])
+    sig = np.concatenate([s for _, s in held])
+    node = np.repeat(np.array([n for n, _ in held], np.int64), [len(s) for _, s in held])
+    order = np.argsort(sig, kind="stable")
+    sig, node = sig[order], node[order]
+    head = np.concatenate([[True], sig[1:] != sig[:-1]])
+    first = np.repeat(node[head], np.diff(np.append(np.flatnonzero(head), len(sig))))
+    edges = np.unique(np.stack([node[~head], first[~head]]), axis=1)
+    n = int(head.sum())
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.concatenate([sig[head], edges[0]])), pa.array(np.concatenate([node[head], edges[0]])),
+        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(edges[1])]),
+    ], ["sig", "node", "first"])
+
+
+def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, shingles: int = SHINGLES, **broadcast) -> DataFrame:
     """doc_id, th, n_shingles, root, component_id for every row of ``docs`` (th: xxhash64 of the text; root: the component's node, null for an empty set).
 
     Text is lower-cased for A-Z only. Fewer than k words: the whole sequence is the one shingle; null or blank
@@ -176,126 +203,131 @@ def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, slice_size:
     def profile(batches):
         for b in batches:
             out = ([], [])
-            for x in b.column(2).to_pylist():
-                s = shingle_set(x, k)
+            for x in b.column(2):
+                s = shingle_set(x.as_py(), k)
                 out[0].append(len(s))
                 out[1].append(node_of(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["doc_id", "th", "n", "node"])
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    rows = stored(base.mapInArrow(in_slices(profile), "doc_id long, th long, n long, node long"))
-    # One row stands for each set; sets under 9 (for 0.9) link only with equal ones.
+    rows = stored(in_arrow(base, profile, "doc_id long, th long, n long, node long"))
+    # Sets under 9 (for 0.9) link only with equal ones.
     least = next(n for n in range(2, 1 << 20) if Fraction(n - 1, n) >= t) - 1
-    nodes = rows.filter(F.col("n") >= least).groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("r"))
-    reps = stored(nodes.select("node", "r.doc_id", "r.th"))
-
-    def fetch(chosen: DataFrame) -> DataFrame:
-        """Texts of representatives: by broadcast while their count is small, else by a shuffled join."""
-        side = F.broadcast(chosen) if chosen.count() <= broadcast_rows else chosen
-        on = base["doc_id"].eqNullSafe(side["doc_id"]) & (base["th"] == side["th"])
-        extra = [c for c in side.columns if c not in ("doc_id", "th", "node")]
-        return base.join(side, on).select("node", "text", *extra)
 
     def sign(batches):
-        classes = Classes(t)
+        classes, held, n, seen = Classes(t), [], 0, set()
         for b in batches:
-            for node, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                sig = signatures(shingle_set(x, k), classes)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(np.full(len(sig), node, np.int64))], ["sig", "node"])
-
-    near = same_signature(reps, lambda chosen: fetch(chosen).mapInArrow(in_slices(packed(sign)), "sig long, node long"))
-    blocks = stored(components(near))
-
-    links = components(linked(fetch(stored(reps.join(blocks, "node"))), t, k, slice_size))
+            for x in b.column(0):
+                s = shingle_set(x.as_py(), k)
+                if len(s) >= least and (node := node_of(s)) not in seen:
+                    seen.add(node)
+                    held.append((node, signatures(s, classes)))
+                    n += len(held[-1][1])
+                if n >= shingles:
+                    yield equal_parts(held)
+                    held, n, seen = [], 0, set()
+        if held:
+            yield equal_parts(held)
+
+    near = same_signature(in_arrow(base.select("text"), sign, "sig long, node long, first long"))
+    blocks = components(near)
+    members = rows.join(small(blocks, 16, **broadcast), "node").groupBy("node", "root").agg(F.min(F.struct("doc_id", "th")).alias("r"), F.min("n").alias("n"))
+    members = stored(members.select("node", "root", "r.doc_id", "r.th", "n"))
+    edges = linked(base, sliced(members, t, shingles), t, k, **broadcast)
+    links = components(edges)
     comp = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least")).join(links, "node", "left")
     comp = comp.select("node", "least", F.coalesce("root", "node").alias("root"))
     best = comp.groupBy("root").agg(F.min("least").alias("component_id"))
-    comp = comp.join(best, "root").select("node", "root", "component_id")
+    comp = stored(comp.join(best, "root").select("node", "root", "component_id"))
+    discard(blocks, members, links)
     one = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.join(comp, "node", "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "root", one.alias("component_id"))
+    out = rows.join(comp, "node", "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "root", one.alias("component_id"))
+    out.folio_parts = rows, comp
+    return out
 
 
-def same_signature(reps: DataFrame, signed, sample: int = 20_000, hot_rows: int = 20, salts: int = 64) -> DataFrame:
-    """Edges (u, v) that join all nodes with an equal signature; ``signed(reps)`` gives (sig, node).
+def same_signature(signed: DataFrame) -> DataFrame:
+    """Edges (u, v) that join all nodes with an equal signature, from (sig, node, first); rows with ``first`` are edges already.
 
-    A signature's nodes are sorted and only the running minimum is held. So that a hot signature isn't one task's,
-    the sort of those met ``hot_rows`` times or more in about ``sample`` nodes is dealt over ``salts`` and the
-    least nodes of the salts are joined by a second pass. The sample (a hash test, so reruns agree) decides only
-    the layout, not the edges; the list of hot signatures is bounded by the sample's signatures.
+    A signature's nodes are sorted and only the running minimum is held. Tasks have reported a signature once for
+    each SHINGLES signatures, so a hot one has few rows here.
     """
-    share = min(1 << 20, int((1 << 20) * sample / max(1, reps.count())))
-    few = reps.filter(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 20)) < share)
-    hot = stored(signed(few).groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") >= hot_rows).select("sig", F.lit(True).alias("hot")))
-    rows = signed(reps).join(F.broadcast(hot), "sig", "left")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(salts))).otherwise(0).cast("int")
-    run = lambda *key: F.min("node").over(Window.partitionBy(*key).orderBy("node").rowsBetween(Window.unboundedPreceding, 0))
-    rows = stored(rows.withColumn("salt", salt).withColumn("first", run("sig", "salt")).filter("node <> first OR hot").select("sig", "node", "first"))
-    heads = rows.filter("node = first").select("sig", "node").withColumn("first", run("sig")).filter("node <> first")
-    return rows.filter("node <> first").select("node", "first").unionByName(heads.select("node", "first")).select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
-
-
-def representatives(docs: DataFrame, threshold: str = "0.8", k: int = 5, broadcast_rows: int = 400_000) -> DataFrame:
-    """``docs`` with one row of each component left: the smallest doc_id (null last), then text hash. Rows with an empty set all stay."""
-    found = stored(classes_of(docs, threshold, k, broadcast_rows=broadcast_rows))
-    place = F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "th")
-    best = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("best"))
-    gone = found.join(best, "root").filter(place != F.col("best")).select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct()
-    repeated = found.filter("root IS NOT NULL").groupBy("doc_id", "th").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"))
+    run = F.min("node").over(Window.partitionBy("sig").orderBy("node").rowsBetween(Window.unboundedPreceding, 0))
+    rows = signed.withColumn("v", F.coalesce("first", run)).filter("node <> v")
+    return rows.select(F.col("node").alias("u"), "v").distinct()
 
-    def side(df: DataFrame) -> DataFrame:
-        df = stored(df)
-        return F.broadcast(df) if df.count() <= broadcast_rows else df
 
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_th"))
-    kept, again = docs.join(side(gone), on, "left_anti"), side(repeated)
-    if again.isEmpty():
-        return kept
-    th = F.xxhash64("text")
-    first = kept.join(again, on, "left_semi").withColumn("gone_th", th).dropDuplicates(["doc_id", "gone_th"]).drop("gone_th")
-    return kept.join(again, on, "left_anti").unionByName(first)
-
-
-def packed(f, size: int = 100_000):
-    """Joins the small batches of f to larger ones."""
-
-    def run(batches):
-        held, n = [], 0
-        for b in f(batches):
-            held.append(b)
-            n += b.num_rows
-            if n >= size:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, n = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+def sliced(members: DataFrame, t: Fraction, shingles: int) -> DataFrame:
+    """members (node, root, n) with ``keys``, the searches (block, i, j) that a node takes part in.
 
-    return run
+    A block of at most ``shingles`` is one search. A larger one is searched by size class, each with the class below
+    it, in pairs of slices of about ``shingles`` by node hash.
+    """
+    lows = F.array(*[F.lit(x) for x in Classes(t).lows])
+    cls = F.size(F.filter(lows, lambda x: x <= F.col("n")))
+    whole = members.groupBy("root").agg(F.sum("n").alias("all")).filter(F.col("all") > shingles)
+    large = stored(members.join(whole.select("root"), "root").withColumn("block", F.explode(F.array(cls, cls + 1))).withColumn("own", cls))
+    # A search of class c holds classes c - 1 and c; where class c is missing, search c - 1 covers it.
+    counts = large.groupBy("root", "block").agg(F.ceil(F.sum("n") / shingles).cast("int").alias("slices"), F.max("own").alias("top")).filter("top = block")
+    mine = F.pmod(F.xxhash64("node", F.lit(3)), F.col("slices")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("slices") - 1), lambda o: (o != F.col("mine")) | (F.col("slices") == 1))
+    key = lambda b, i, j: F.struct(b.cast("int").alias("block"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    keyed = large.join(counts.select("root", "block", "slices"), ["root", "block"]).withColumn("mine", mine)
+    keyed = keyed.withColumn("keys", F.transform(others, lambda o: key(F.col("block"), F.least(o, F.col("mine")), F.greatest(o, F.col("mine")))))
+    keyed = keyed.groupBy("node").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    one = F.array(key(F.lit(-1), F.lit(0), F.lit(0)))
+    return stored(members.join(keyed, "node", "left").withColumn("keys", F.coalesce("keys", one)))
 
 
-def linked(members: DataFrame, t: Fraction, k: int, slice_size: int) -> DataFrame:
-    """Edges (u, v) that join linked nodes of a block (node, text, root)."""
+def linked(base: DataFrame, members: DataFrame, t: Fraction, k: int, **broadcast) -> DataFrame:
+    """Edges (u, v) that join linked nodes of a block; members: (node, root, doc_id, th, n, keys), base: (doc_id, th, text)."""
 
     def sets(batches):
-        classes = Classes(t)
+        seen = set()  # a row that repeats is taken once a task
         for b in batches:
-            rows = [(node, root, s.tobytes(), classes.of(len(s))) for node, x, root in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()) for s in [shingle_set(x, k)]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.int32())], ["node", "root", "set", "cls"])
-
-    got = stored(members.select("node", "text", "root").mapInArrow(in_slices(sets), "node long, root long, set binary, cls int"))
-    placed = got.withColumn("block", F.explode(F.array("cls", F.col("cls") + 1)))
-    slices = placed.groupBy("root", "block").agg(F.ceil(F.count("*") / slice_size).cast("int").alias("slices"), F.count_distinct("cls").alias("sizes"), F.max("cls").alias("top"))
-    # A block of class c holds classes c - 1 and c; where class c is missing, block c - 1 covers it.
-    slices = slices.filter("top = block")
-    placed = placed.join(slices.select("root", "block", "slices"), ["root", "block"])
-    mine = F.pmod(F.xxhash64("node", F.lit(3)), F.col("slices")).cast("int")
-    keys = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda o: F.struct(F.least(o, F.col("mine")).alias("i"), F.greatest(o, F.col("mine")).alias("j")))
-    placed = placed.withColumn("mine", mine).withColumn("key", F.explode(keys))
-
-    def run(key, table):
-        nodes, mine = table.column("node").to_numpy(), table.column("mine").to_numpy()
-        apart = key[2].as_py() != key[3].as_py()
-        found = search([np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()], t, mine if apart else None)
+            node, text = b.column(0), b.column(1)
+            new = [i for i, x in enumerate(node.to_pylist()) if x not in seen and not seen.add(x)]
+            packed_sets = pa.array([shingle_set(text[i].as_py(), k).tobytes() for i in new], pa.binary())
+            at = pa.array(new, pa.int64())
+            yield pa.RecordBatch.from_arrays([node.take(at), b.column(2).take(at), b.column(3).take(at), packed_sets], ["node", "root", "keys", "set"])
+
+    side = small(members.select(F.col("doc_id").alias("m_id"), F.col("th").alias("m_th"), "node", "root", "keys"), 48, **broadcast)
+    texts = base.join(side, base["doc_id"].eqNullSafe(side["m_id"]) & (base["th"] == side["m_th"])).select("node", "text", "root", "keys")
+    got = in_arrow(texts, sets, "node long, root long, keys array<struct<block:int,i:int,j:int>>, set binary")
+    placed = got.select("node", "root", F.explode("keys").alias("key"), "set").select("node", "root", "key.block", "key.i", "key.j", "set")
+
+    def run(table):
+        nodes, at = np.unique(table.column("node").to_numpy(), return_index=True)
+        held = table.column("set")
+        found = search([np.frombuffer(held[int(i)].as_buffer(), np.uint64) for i in at], t)
         return pa.table({"u": pa.array([int(nodes[a]) for a, _ in found], pa.int64()), "v": pa.array([int(nodes[b]) for _, b in found], pa.int64())})
 
-    placed = placed.select("root", "block", F.col("key.i").alias("i"), F.col("key.j").alias("j"), "node", "mine", "set")
     return placed.groupBy("root", "block", "i", "j").applyInArrow(run, "u long, v long")
+
+
+def representatives(docs: DataFrame, threshold: str = "0.8", k: int = 5, **limits) -> DataFrame:
+    """``docs`` with one row of each component left: the smallest doc_id (null last), then text hash; of equal such rows any one.
+
+    Null and blank texts have empty sets and all stay; a null doc_id is an id like any other; repeated rows count as
+    copies of each other; an empty table gives no rows; all columns are kept, whatever their names.
+    """
+    classes = classes_of(docs, threshold, k, **limits)
+    found = stored(classes)
+    discard(*classes.folio_parts)
+    place = F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "th")
+    grouped = found.filter("root IS NOT NULL")
+    best = grouped.groupBy("root").agg(F.min(place).alias("best"))
+    key = [F.col("doc_id").alias("k_id"), F.col("th").alias("k_th")]
+    gone = stored(grouped.join(best, "root").filter(place != F.col("best")).select(*key).distinct())
+    again = stored(grouped.groupBy("doc_id", "th").agg(F.count("*").alias("c")).filter("c > 1").select(*key))
+    limits.pop("shingles", None)
+    rows = packed_rows(docs, id=F.col("doc_id").cast("long"), th=F.xxhash64("text"))
+
+    def rid(df: DataFrame, side: DataFrame, how: str) -> DataFrame:
+        return df.join(small(side, 16, **limits), df["id"].eqNullSafe(side["k_id"]) & (df["th"] == side["k_th"]), how)
+
+    kept = rid(rows, gone, "left_anti")
+    if again.isEmpty():
+        return kept.select("row.*")
+    first = rid(kept, again, "left_semi").dropDuplicates(["id", "th"])
+    return rid(kept, again, "left_anti").unionByName(first).select("row.*")

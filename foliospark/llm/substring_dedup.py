@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
-from .jaccard_join import packed
+from .common import packed, stored
 from .shingles import gram_hashes, run_hashes, word_hashes
 
 GRAM = 8

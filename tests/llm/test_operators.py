@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -178,24 +180,65 @@ def test_quality_fences_adapt(spark):
 
 
 @pytest.mark.parametrize("seed", [7, 9])
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "slice_size": 2}])
+@pytest.mark.parametrize("limits", [{}, {"limit": 0, "shingles": 150}])
 def test_jaccard(spark, seed, limits):
     rows = corpus(seed, 200)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     assert got(jaccard_join.classes_of(df, **limits), "doc_id", "n_shingles", "component_id") == Counter(brute.jaccard(pairs(rows)))
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 1_000])
-def test_hot_signatures(spark, hot_rows):
-    r = random.Random(hot_rows)
-    signed = spark.createDataFrame([(r.choice([1, 1, 1, r.randrange(2, 60)]), n) for n in range(0, 400, 2)] + [(1000 + n, n) for n in range(400)], "sig long, node long").repartition(3)
-    edges = jaccard_join.same_signature(signed.select("node").distinct(), lambda few: signed.join(few, "node").select("sig", "node"), hot_rows=hot_rows, salts=5)
-    of = {x["node"]: x["root"] for x in graph.components(edges).collect()}
-    groups = defaultdict(set)
-    for sig, node in signed.collect():
-        groups[sig].add(node)
-    want = {n: min(g) for g in groups.values() if len(g) > 1 for n in g}
-    assert of == want
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equal_parts_of_tasks(spark, seed):
+    r = random.Random(seed)
+    groups, out = defaultdict(set), []
+    for task in range(5):
+        held = [(n, np.array([r.choice([1, 1, r.randrange(2, 90)]) for _ in range(4)])) for n in range(task * 20, task * 20 + 30)]
+        for n, sig in held:
+            for x in sig.tolist():
+                groups[x].add(n)
+        out += [tuple(x.values()) for x in jaccard_join.equal_parts(held).to_pylist()]
+    signed = spark.createDataFrame([(s if f is None else 1000 + n, n, f) for s, n, f in out], "sig long, node long, first long").repartition(3)
+    of = {x["node"]: x["root"] for x in graph.components(jaccard_join.same_signature(signed)).collect()}
+    edges = [(n, min(g)) for g in groups.values() for n in g]
+    for _ in range(9):
+        least = {}
+        for a, b in edges:
+            least[a] = min(least.get(a, a), least.get(b, b), a, b)
+            least[b] = min(least.get(b, b), least[a])
+        edges += list(least.items())
+    assert of == {n: x for n, x in least.items() if sum(least[m] == x for m in least) > 1}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_finds_components(seed):
+    r, sets = random.Random(seed), []
+    for _ in range(12):
+        base = [r.randrange(1 << 60) for _ in range(r.choice([12, 40, 90]))]
+        for _ in range(r.choice([1, 2, 9])):
+            own = [x if r.random() > 0.06 else r.randrange(1 << 60) for x in base][: r.randrange(len(base) - 6, len(base) + 1)]
+            sets.append(np.unique(np.array(own + [7, 8], np.uint64)))
+    for t in (Fraction("0.9"), Fraction("0.8")):
+        found = jaccard_join.search(sets, t)
+        alike = lambda a, b: Fraction(len(np.intersect1d(sets[a], sets[b])), len(np.union1d(sets[a], sets[b]))) >= t
+        assert all(alike(a, b) for a, b in found)
+        nodes = list(range(len(sets)))
+
+        def classes(edges):
+            root = list(nodes)
+            for _ in nodes:
+                for a, b in edges:
+                    root[a] = root[b] = min(root[a], root[b])
+            return root
+
+        assert classes(found) == classes([(a, b) for a in nodes for b in range(a) if alike(a, b)])
+
+
+def test_hot_group_of_near_copies(spark):
+    r = random.Random(2)
+    base = [f"w{r.randrange(10**6)}" for _ in range(150)]
+    rows = [(i, " ".join(base[: i % 50] + [f"x{i % 300}"] + base[i % 50 :])) for i in range(1_500)] + [(9_000 + i, " ".join(f"v{r.randrange(10**6)}" for _ in range(60))) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(jaccard_join.classes_of(df, shingles=20_000), "doc_id", "component_id") == Counter((d, 0 if d < 9_000 else d) for d, _ in rows)
 
 
 def test_mixing(docs, rows):
