@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, stored
+from .common import BROADCAST_BYTES, n_words, packed_rows, small, stored
 
 UNIT = 1_000_000  # rates are whole millionths, so that sums don't depend on their order
 WEIGHTS = (5, 2, 1)
@@ -80,15 +80,21 @@ def balance(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return out.withColumn("j", j).withColumn("copies", copies.cast("int")).select("doc_id", "th", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-def mixed(docs: DataFrame, broadcast_rows: int = 400_000, **options) -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it (not at all for 0 copies)."""
+def mixed(docs: DataFrame, limit: int = BROADCAST_BYTES, **options) -> DataFrame:
+    """``docs`` with every row repeated as often as the mix takes it (not at all for 0 copies).
+
+    Null texts and texts without words have size 0 and get no copies; null sources are a source of their own; rows
+    that repeat share their copies as evenly as can be; an empty table gives no rows; all columns are kept, whatever
+    their names.
+    """
     plan = balance(docs, **options).groupBy("doc_id", "th", "source").agg(F.sum("copies").alias("k"), F.count("*").alias("m"))
     plan = stored(plan.select(F.col("doc_id").alias("mix_id"), F.col("th").alias("mix_th"), F.col("source").alias("mix_source"), "k", "m"))
-    side = F.broadcast(plan) if plan.count() <= broadcast_rows else plan
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & (F.xxhash64("text") == F.col("mix_th")) & F.col("source").eqNullSafe(F.col("mix_source"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text").join(side, on).drop("doc_id", "source", "text")
+    side = small(plan, 64, limit)
+    rows = packed_rows(docs, id=F.col("doc_id").cast("long"), th=F.xxhash64("text"), source=F.col("source"))
+    on = F.col("id").eqNullSafe(F.col("mix_id")) & (F.col("th") == F.col("mix_th")) & F.col("source").eqNullSafe(F.col("mix_source"))
+    rows = rows.join(side, on)
     some = rows.filter("m = 1 AND k > 0").select("row", F.explode(F.expr("sequence(1L, k)")))
-    repeated = rows.filter("m > 1 AND k > 0").withColumn("j", F.row_number().over(Window.partitionBy("mix_id", "mix_th", "mix_source").orderBy(F.col("row").cast("string"))) - 1)
+    repeated = rows.filter("m > 1 AND k > 0").withColumn("j", F.row_number().over(Window.partitionBy("mix_id", "mix_th", "mix_source").orderBy(F.xxhash64(F.col("row").cast("string")))) - 1)
     repeated = repeated.withColumn("own", F.expr("(j + 1) * k div m - j * k div m")).filter("own > 0").select("row", F.explode(F.expr("sequence(1L, own)")))
     return some.unionByName(repeated).select("row.*")
 
@@ -104,7 +110,8 @@ def solve(hist: DataFrame, targets: DataFrame, cap: int, max_iterations: int, to
 
     A step that leaves the bracket is replaced by its middle. A source is settled within ``tolerance`` of its
     target, or within the error that rates rounded to millionths can make (half a millionth of its size). The
-    driver sees one number a step: the unsettled among the sources whose target is strictly inside (0, cap * size).
+    driver sees one number a step: whether a source whose target is strictly inside (0, cap * size) is unsettled. Steps
+    that run out are an error.
     """
     free = (F.col("target") > 0) & (F.col("target") < F.col("source_size") * cap)
     state = stored(targets.filter(free).select("source", F.lit(0.0).alias("lam"), F.lit(-4096.0).alias("lo"), F.lit(4096.0).alias("hi"), F.lit(False).alias("settled")))
@@ -128,8 +135,10 @@ def solve(hist: DataFrame, targets: DataFrame, cap: int, max_iterations: int, to
         settled = F.abs(F.col("f") - F.col("target")) <= F.greatest(F.col("target") * tolerance, F.col("whole") / (2 * scale))
         next_lam = F.when(settled, F.col("lam")).when(inside & (F.abs(step - F.col("lam")) < 4), step).otherwise(narrow)
         state = stored(got.select("source", next_lam.alias("lam"), "lo", "hi", settled.alias("settled")))
-        if not state.filter("NOT settled").count():
+        if state.filter("NOT settled").isEmpty():
             break
+    else:
+        raise RuntimeError(f"source rates did not settle in {max_iterations} steps")
     return targets.select("source").alias("a").join(state.alias("b"), same, "left").select("a.source", F.coalesce("lam", F.lit(0.0)).alias("lam"))
 
 

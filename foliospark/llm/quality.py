@@ -1,25 +1,35 @@
 """Quality rules with adaptive thresholds.
 
-Word, symbol, line and repetition counts come from one Arrow stage over whole texts. Ratios are whole
-per-milles, so a histogram of at most 1,001 values for each language, source and ratio is an exact, mergeable
-quantile sketch: partial counts add up in any order. Fences from its quartiles replace fixed cutoffs.
+Word, symbol, line and repetition counts come from one Arrow stage over whole texts. Ratios are whole numbers in a
+bounded range, so a histogram for each language, source and ratio is an exact, mergeable quantile sketch: partial
+counts add up in any order. Fences from the quantiles of a group replace fixed cutoffs; the spread is the group's or, if
+that is wider, the median of all groups' spreads, so that a group that copies of one document fill keeps its other
+documents.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import packed_rows, quoted, stored
 
 SYMBOLS = b"#*$%&|<>"
-#: A ratio is too high above q3 + max(slack, SPREAD * (q3 - q1)); the slack is the least spread in per-milles.
-SLACK = {"symbols": 50, "dup_lines": 500, "repeats": 300}
-SPREAD = 3
+#: Upper fences by ratio: (quantile, inner quantile, factor); a value is too high above q + factor * (q - inner) + 1.
+UPPER = {"symbols": (750, 250, 3), "dup_lines": (980, 900, 1), "repeats": (980, 900, 1), "length": (750, 250, 3)}
+#: Lower fences: too low below q - factor * (inner - q) - 1.
+LOWER = {"length": (250, 750, 3)}
+#: Ratios: per-milles, and the mean word length in hundredths of a code point, up to 100 code points.
+RATIOS = {
+    "symbols": "1000 * n_symbols div greatest(word_chars, 1)", "dup_lines": "1000 * n_dup_lines div greatest(n_lines, 1)",
+    "repeats": "1000 * n_repeat_words div greatest(n_words, 1)", "length": "least(100 * word_chars div greatest(n_words, 1), 10000)",
+}
+BASE = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 STATS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
+NAMES = [x.split()[0] for x in STATS.split(", ")]
 
 
 def text_stats(text: str | None) -> tuple[int, int, int, int, int, int]:
@@ -41,53 +51,80 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int, int]:
     return n, chars, sum(map(raw.count, (SYMBOLS[i : i + 1] for i in range(len(SYMBOLS))))), len(lines), len(lines) - len(set(lines)), repeats
 
 
-def measured(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
-    """The columns in ``keep`` and the counts of every text (null: empty)."""
-    names = [x.split()[0] for x in STATS.split(", ")]
+def counted(text: Column) -> Column:
+    """Struct of the counts of a text (null: empty)."""
 
-    @F.pandas_udf(STATS)
-    def counts(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_stats(t) for t in texts], columns=names, dtype="int64")
+    @F.arrow_udf(f"struct<{STATS.replace(' ', ':').replace(',:', ',')}>")
+    def counts(texts: pa.Array) -> pa.Array:
+        rows = [text_stats(t.as_py()) for t in texts]
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(NAMES))], NAMES)
 
-    return docs.select(*keep, counts("text").alias("counts")).select(*keep, "counts.*")
+    return counts(text)
 
 
-def ratios() -> dict:
-    per = lambda a, b: F.expr(f"1000 * {a} div greatest({b}, 1)")
-    return {"symbols": per("n_symbols", "word_chars"), "dup_lines": per("n_dup_lines", "n_lines"), "repeats": per("n_repeat_words", "n_words")}
+def measured(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns in ``keep``, the counts of every text and base_failed."""
+    counts = docs.select(*[quoted(c) for c in keep], counted(F.col("text")).alias("counts"))
+    return counts.select(*keep, "counts.*").withColumn("base_failed", F.expr(BASE))
 
 
-def fences(stats: DataFrame) -> DataFrame:
-    """(lang, source, max_<ratio> ...): a row for each language and source with a document that passes the base rule."""
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), v.alias("value")) for k, v in ratios().items()]))
-    hist = stats.filter("NOT base_failed").select("lang", "source", each.alias("r")).groupBy("lang", "source", "r.ratio", "r.value").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("lang", "source", "ratio")
+def sketches(stats: DataFrame) -> DataFrame:
+    """(lang, source, ratio, value, n): the histograms of the documents that pass the base rule."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), F.expr(v).alias("value")) for k, v in RATIOS.items()]))
+    return stats.filter("NOT base_failed").select("lang", "source", each.alias("r")).groupBy("lang", "source", "r.ratio", "r.value").agg(F.count("*").alias("n"))
+
+
+def quantiles(hist: DataFrame, *group: str, used=None) -> DataFrame:
+    """q<per mille> of each group and ratio: the least value that so many per mille reach."""
+    w = Window.partitionBy(*group, "ratio")
     hist = hist.withColumn("cum", F.sum("n").over(w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("n").over(w))
-    quart = lambda q: F.min(F.when(F.col("cum") * 4 >= F.col("all") * q, F.col("value")))
-    got = hist.groupBy("lang", "source", "ratio").agg(quart(1).alias("q1"), quart(3).alias("q3"))
-    slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])
-    top = F.col("q3") + F.greatest(slack[F.col("ratio")], SPREAD * (F.col("q3") - F.col("q1")))
-    return got.groupBy("lang", "source").agg(*[F.max(F.when(F.col("ratio") == k, top)).alias(f"max_{k}") for k in SLACK])
+    used = used or sorted({q for hi, inner, _ in [*UPPER.values(), *LOWER.values()] for q in (hi, inner)})
+    return hist.groupBy(*group, "ratio").agg(*[F.min(F.when(F.col("cum") * 1000 >= F.col("all") * q, F.col("value"))).alias(f"q{q}") for q in used])
 
 
-def verdicts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang", "source")) -> DataFrame:
-    """Counts, base_failed, the fences and kept for every row; nothing is dropped.
+def fences(hist: DataFrame) -> DataFrame:
+    """(lang, source, max_<ratio> ..., min_<ratio> ...): a row for each language and source with a document that passes the base rule.
 
-    Null text counts as empty and fails the base rule (as do texts under 50 words); null languages and sources
-    are groups of their own; repeated rows count each; an empty table gives no rows; only ``keep`` is carried.
+    The median spread of the groups is found as a group's quantile is, from a histogram of at most 10,001 spreads.
     """
-    stats = measured(docs, keep).withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
-    stats = stored(stats)
+    got = stored(quantiles(hist, "lang", "source"))
+    rules = [(k, 1, r) for k, r in UPPER.items()] + [(k, -1, r) for k, r in LOWER.items()]
+    spread = lambda s, r: s * (F.col(f"q{r[0]}") - F.col(f"q{r[1]}"))
+    each = got.select(F.explode(F.array(*[F.when(F.col("ratio") == k, F.struct(F.lit(f"{k}{s}").alias("ratio"), spread(s, r).alias("value"))) for k, s, r in rules])).alias("s"))
+    mid = quantiles(each.filter("s IS NOT NULL").groupBy("s.ratio", "s.value").agg(F.count("*").alias("n")), used=(500,))
+    mid = mid.agg(*[F.max(F.when(F.col("ratio") == f"{k}{s}", F.col("q500"))).alias(f"mid_{k}{s}") for k, s, _ in rules])  # one row
+    fence = lambda k, s, r: F.max(F.when(F.col("ratio") == k, F.col(f"q{r[0]}") + s * (r[2] * F.greatest(spread(s, r), F.col(f"mid_{k}{s}")) + 1)))
+    return got.crossJoin(F.broadcast(mid)).groupBy("lang", "source").agg(*[fence(k, s, r).alias(f"{'max' if s > 0 else 'min'}_{k}") for k, s, r in rules])
+
+
+def judged(stats: DataFrame, limits: DataFrame) -> DataFrame:
+    """stats with kept, by the fences of their language and source."""
     on = F.col("a.lang").eqNullSafe(F.col("b.lang")) & F.col("a.source").eqNullSafe(F.col("b.source"))
-    limits = stored(fences(stats))  # written, so that Spark knows its size: small ones are broadcast, texts not shuffled
-    both = stats.alias("a").join(limits.alias("b"), on, "left").select("a.*", *[f"max_{k}" for k in SLACK])
+    both = stats.alias("a").join(limits.alias("b"), on, "left").select("a.*", *[f"max_{k}" for k in UPPER], *[f"min_{k}" for k in LOWER])
     bad = F.lit(False)
-    for k, v in ratios().items():
-        bad = bad | F.coalesce(v > F.col(f"max_{k}"), F.lit(False))
+    for k in UPPER:
+        bad = bad | F.coalesce(F.expr(RATIOS[k]) > F.col(f"max_{k}"), F.lit(False))
+    for k in LOWER:
+        bad = bad | F.coalesce(F.expr(RATIOS[k]) < F.col(f"min_{k}"), F.lit(False))
     return both.withColumn("kept", ~F.col("base_failed") & ~bad)
 
 
+def verdicts(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, source, the counts, base_failed, the fences and kept for every row; nothing is dropped.
+
+    Null text counts as empty and fails the base rule (as do texts under 50 words); null languages and sources
+    are groups of their own; repeated rows count each; an empty table gives no rows; other columns are not read.
+    """
+    stats = stored(measured(docs, "doc_id", "lang", "source"))
+    return judged(stats, stored(fences(sketches(stats))))  # written, so that Spark knows its size: small ones are broadcast
+
+
 def passing(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, unchanged."""
-    row = docs.select("lang", "source", "text", F.struct(*docs.columns).alias("row"))
-    return verdicts(row, ("lang", "source", "row")).filter("kept").select("row.*")
+    """The rows of ``docs`` that the rules keep, unchanged, with all columns, whatever their names; nulls, repeats and empty tables as in ``verdicts``.
+
+    Texts are counted twice, once for the fences and once for the verdict, so that no copy of them is written.
+    """
+    limits = stored(fences(sketches(measured(docs, "lang", "source"))))
+    rows = packed_rows(docs, lang=F.col("lang"), source=F.col("source"), counts=counted(F.col("text")))
+    stats = rows.select("row", "lang", "source", "counts.*").withColumn("base_failed", F.expr(BASE))
+    return judged(stats, limits).filter("kept").select("row.*")

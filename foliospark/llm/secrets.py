@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import quoted, stored
 
 SCOPE = 200
 KINDS = ("assign", "access", "hex", "weak", "ident", "endpoint")
@@ -52,7 +52,7 @@ def scan(docs: DataFrame, scope: int = SCOPE, carry: bool = False) -> DataFrame:
     """
     long_enough = lambda m: F.char_length(F.regexp_extract(m, ASSIGN, 2)) >= 8
     mixed = lambda m: m.rlike("[a-z]") & m.rlike("[A-Z]") & m.rlike("[0-9]")
-    row = [F.struct(*docs.columns).alias("row")] if carry else []
+    row = [F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")] if carry else []
     held = ["row"] if carry else []
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *row).withColumn("th", F.xxhash64("text"))
     found = stored(d.select(
@@ -106,8 +106,12 @@ def masked(text: str, spans: str, mark: str = "[SECRET]") -> Column:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with every reported span masked and n_chars to match; clean rows unchanged."""
-    got = scan(docs, carry=True).select("row.*", "spans")
-    hit, text = F.size("spans") > 0, masked("text", "spans")
-    got = got.withColumn("clean", text)
-    return got.select(*[F.col("clean").alias(c) if c == "text" else F.when(hit, F.char_length("clean").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    """``docs`` with every reported span masked and n_chars to match; clean rows unchanged, null texts stay null.
+
+    Repeated rows are masked each; a null doc_id is an id like any other; an empty table gives no rows; all columns
+    are kept, whatever their names.
+    """
+    got = scan(docs, carry=True).select("row", "spans").withColumn("text", F.col("row.text"))
+    got = got.select("row", (F.size("spans") > 0).alias("hit"), masked("text", "spans").alias("masked"))
+    own = {"text": F.col("masked"), "n_chars": F.when(F.col("hit"), F.char_length("masked").cast("long")).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {"text": F.col("masked")}
+    return got.select(*[own.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -25,11 +25,13 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
 FROM d LEFT JOIN kept ON d.rid = kept.rid
 """
 
-_RATIOS = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words")}
-_per = ", ".join(f"1000 * {a} // greatest({b}, 1) AS {k}" for k, (a, b) in _RATIOS.items())
-_ranks = ", ".join(f"row_number() OVER (PARTITION BY lang, source ORDER BY {k}) AS at_{k}" for k in _RATIOS)
-_quart = ", ".join(f"min({k}) FILTER (4 * at_{k} >= n) AS {k}1, min({k}) FILTER (4 * at_{k} >= 3 * n) AS {k}3" for k in _RATIOS)
-_high = " OR ".join(f"{k} > {k}3 + greatest({quality.SLACK[k]}, {quality.SPREAD} * ({k}3 - {k}1))" for k in _RATIOS)
+_ratios = ", ".join(f"{v.replace(' div ', ' // ')} AS {k}" for k, v in quality.RATIOS.items())
+_ranks = ", ".join(f"row_number() OVER (PARTITION BY lang, source ORDER BY {k}) AS at_{k}" for k in quality.RATIOS)
+_rules = [(k, "+", *r) for k, r in quality.UPPER.items()] + [(k, "-", *r) for k, r in quality.LOWER.items()]
+_cuts = ", ".join(f"min({k}) FILTER (1000 * at_{k} >= {q} * n) AS {k}{q}" for k, q in sorted({(r[0], q) for r in _rules for q in r[2:4]}))
+_spreads = ", ".join(f"abs({k}{q} - {k}{inner}) AS spread{i}" for i, (k, _, q, inner, _) in enumerate(_rules))
+_mids = ", ".join(f"quantile_disc(spread{i}, 0.5) AS mid{i}" for i in range(len(_rules)))
+_bad = " OR ".join(f"{k} {'>' if sign == '+' else '<'} {k}{q} {sign} ({f} * greatest(spread{i}, mid{i}) + 1)" for i, (k, sign, q, _, f) in enumerate(_rules))
 
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
@@ -43,10 +45,11 @@ s AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(coal
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(lines.n, 0) AS n_lines,
     CAST(coalesce(lines.n - lines.own, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(reps.n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN chars ON d.rid = chars.rid LEFT JOIN lines ON d.rid = lines.rid LEFT JOIN reps ON d.rid = reps.rid),
-r AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {_per} FROM s),
-f AS (SELECT lang, source, {_quart} FROM (SELECT *, {_ranks}, count(*) OVER (PARTITION BY lang, source) AS n FROM r WHERE NOT base_failed) GROUP BY lang, source)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({_high}, false) AS kept
-FROM r LEFT JOIN f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source
+r AS (SELECT *, {quality.BASE} AS base_failed, {_ratios} FROM s),
+p AS (SELECT *, {_ranks}, count(*) OVER (PARTITION BY lang, source) AS n FROM r WHERE NOT base_failed),
+f AS (SELECT *, {_spreads} FROM (SELECT lang, source, {_cuts} FROM p GROUP BY lang, source)), o AS (SELECT {_mids} FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({_bad}, false) AS kept
+FROM r LEFT JOIN f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source, o
 """
 
 JACCARD = r"""

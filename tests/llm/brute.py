@@ -38,6 +38,23 @@ def quality(t):
     return len(w), sum(map(len, w)), sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit), len(w) < 50 or 100 * len(hit) > 50 * len(w)
 
 
+def kept(rows):
+    """Verdict for each (text, lang, source)."""
+    stats = [quality(t) for t, _, _ in rows]
+    lines = [len([x for x in (t or "").split("\n") if words(x)]) for t, _, _ in rows]
+    ratios = [(1000 * s[2] // max(s[1], 1), 1000 * s[3] // max(k, 1), 1000 * s[4] // max(s[0], 1), min(100 * s[1] // max(s[0], 1), 10000)) for s, k in zip(stats, lines)]
+    groups = defaultdict(list)
+    for (_, lang, source), s, r in zip(rows, stats, ratios):
+        if not s[-1]:
+            groups[lang, source].append(r)
+    at = lambda g, i, q: sorted(r[i] for r in g)[-(-q * len(g) // 1000) - 1]
+    rules = ((0, 1, 750, 250, 3), (1, 1, 980, 900, 1), (2, 1, 980, 900, 1), (3, 1, 750, 250, 3), (3, -1, 250, 750, 3))
+    spread = lambda g, i, q, inner: abs(at(g, i, q) - at(g, i, inner))
+    mid = [sorted(spread(g, i, q, inner) for g in groups.values())[(len(groups) + 1) // 2 - 1] for i, _, q, inner, _ in rules]
+    inside = lambda g, r: all(sign * (r[i] - at(g, i, q)) <= f * max(spread(g, i, q, inner), m) + 1 for (i, sign, q, inner, f), m in zip(rules, mid))
+    return [not s[-1] and inside(groups[lang, source], r) for (_, lang, source), s, r in zip(rows, stats, ratios)]
+
+
 def secrets(t):
     """[(start, kind number, kind, end)]"""
     t = t or ""
