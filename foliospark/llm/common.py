@@ -76,12 +76,17 @@ def small(table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> Dat
     return F.broadcast(table) if table.count() * row_bytes <= limit else table
 
 
-def in_arrow(df: DataFrame, f, schema: str) -> DataFrame:
-    """``df.mapInArrow`` in batches of at most ARROW_ROWS rows, where the session has Spark's own default, so that whole texts need little memory."""
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends Python at most ARROW_ROWS rows at once, where it has Spark's own default, so that whole texts need little memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if session_of(df).conf.get(key) == "10000":
         session_of(df).conf.set(key, str(ARROW_ROWS))
-    return df.mapInArrow(trimmed(f), schema)
+    return df
+
+
+def in_arrow(df: DataFrame, f, schema: str) -> DataFrame:
+    """``df.mapInArrow`` in small batches; freed memory goes back to the system when a task ends."""
+    return small_batches(df).mapInArrow(trimmed(f), schema)
 
 
 def packed_rows(df: DataFrame, **keys: Column) -> DataFrame:

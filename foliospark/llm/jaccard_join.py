@@ -2,8 +2,10 @@
 
 1. A document's set of shingles becomes sorted 64-bit hashes; equal sets are one node.
 2. A node is cut into parts by shingle hash. Two sets that reach the threshold differ in at most d shingles, d by
-   size class, so of m = d + 1 + s parts at least 1 + s are equal; thin parts (at most two shingles, fewer where
-   parts are small) are left out unless a node has more than s of them. Equal parts of one class bring nodes together, with no link lost.
+   size class, so of m = d + 1 + s parts at least 1 + s are equal. Thin parts (at most two shingles, fewer where parts
+   are small) are left out unless a node has more than s of them; the others that a link makes equal are at least as
+   many as a node ``needs``. A part equal to no other node's is dropped, then a node with fewer parts than it needs, and
+   both once more. Equal parts of one class bring the nodes that stay together, with no link lost.
    A task reports an equal part once, whatever the number of its nodes that have it.
 3. Nodes joined by equal parts form blocks. A block is searched as a whole, or, beyond a number of shingles, by size
    class in pairs of slices of so many shingles. Every node that isn't reached yet is a query: short inverted lists are
@@ -76,7 +78,7 @@ class Classes:
         """
         high = self.lows[c + 1] - 1
         d = int((1 - self.t) / (1 + self.t) * 2 * high)
-        s = max(1, d // 8)
+        s = max(1, d // 4)
         m, thin = d + 1 + s, THIN
         mean = self.lows[max(c - 1, 0)] / m
         while thin and m * sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(thin + 1)) > s / 2:
@@ -84,7 +86,8 @@ class Classes:
         return m, s, thin
 
 
-def signatures(s: np.ndarray, classes: Classes) -> np.ndarray:
+def signatures(s: np.ndarray, classes: Classes) -> list[tuple[np.ndarray, int]]:
+    """For the set's own class and the next one: hashes of its parts, and how many of them a linked set must share."""
     own, out = classes.of(len(s)), []
     spread = mixed(s ^ np.uint64(0x5851F42D4C957F2D))
     weight = mixed(s + np.uint64(0x14057B7EF767814F))
@@ -100,8 +103,8 @@ def signatures(s: np.ndarray, classes: Classes) -> np.ndarray:
         if m - len(use) > slack:
             use = np.arange(m)
         tag = (np.uint64(c) << np.uint64(40)) + use.astype(np.uint64)
-        out.append(mixed(mixed(content[use]) + mixed(tag)))
-    return np.concatenate(out).view(np.int64)
+        out.append((mixed(mixed(content[use]) + mixed(tag)).view(np.int64), 1 + slack - (m - len(use))))
+    return out
 
 
 def search(sets: list[np.ndarray], t: Fraction) -> list[tuple[int, int]]:
@@ -173,21 +176,44 @@ def search(sets: list[np.ndarray], t: Fraction) -> list[tuple[int, int]]:
     return links
 
 
-def equal_parts(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    """(sig, node, first) of some nodes' signatures: the least node of each, and with ``first`` its edges to the others."""
-    held = sorted(held, key=lambda x: x[0])
-    sig = np.concatenate([s for _, s in held])
-    node = np.repeat(np.array([n for n, _ in held], np.int64), [len(s) for _, s in held])
-    order = np.argsort(sig, kind="stable")
-    sig, node = sig[order], node[order]
-    head = np.concatenate([[True], sig[1:] != sig[:-1]])
-    first = np.repeat(node[head], np.diff(np.append(np.flatnonzero(head), len(sig))))
-    edges = np.unique(np.stack([node[~head], first[~head]]), axis=1)
-    n = int(head.sum())
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([sig[head], edges[0]])), pa.array(np.concatenate([node[head], edges[0]])),
-        pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(edges[1])]),
-    ], ["sig", "node", "first"])
+def equal_parts(held: list[tuple[int, np.ndarray, int]]) -> pa.RecordBatch:
+    """(sig, node, need, kind, salt) of some (node, signatures, need): a row for each signature, in the order of the nodes.
+
+    Kind 0: no other of these nodes has it. Where several do, each has a row of kind 2 with a salt of its own, and the
+    first one another of kind 1 that stands for them all.
+    """
+    sig = np.concatenate([s for _, s, _ in held])
+    size = [len(s) for _, s, _ in held]
+    node, need = (np.repeat(np.array([x[i] for x in held], np.int64), size) for i in (0, 2))
+    _, first, where, count = np.unique(sig, return_index=True, return_inverse=True, return_counts=True)
+    several = count[where] > 1
+    stand = first[count > 1]
+    at = np.concatenate([np.arange(len(sig)), stand])
+    kind = np.concatenate([np.where(several, 2, 0), np.ones(len(stand), np.int64)])
+    salt = np.where(kind == 2, node[at] | 1, 0)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (sig[at], node[at], need[at].astype(np.int32), kind.astype(np.int32), salt)], ["sig", "node", "need", "kind", "salt"])
+
+
+def same_signature(signed: DataFrame) -> DataFrame:
+    """Edges (u, v) that join the nodes with an equal signature, from the rows of ``equal_parts``.
+
+    ``need`` is twice the parts that a node needs, plus 1 in its second class. Only signatures that two different nodes have leave the shuffle. Tasks report a signature there once for each
+    SHINGLES signatures, so a hot one has few rows; the rows of kind 2 are dealt out by their salts.
+    """
+    every = Window.partitionBy("sig", "salt")
+    met = signed.withColumn("several", F.min("node").over(every) != F.max("node").over(every)).filter("kind = 2 OR kind = 0 AND several")
+    rows = stored(met.select("sig", "node", "need").distinct())
+    for _ in range(2):
+        enough = rows.groupBy("node", "need").agg(F.count("*").alias("c")).filter("c >= need div 2").select("node", "need")
+        some = stored(rows.join(enough, ["node", "need"], "left_semi"))
+        hubs = some.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("sig", "hub")
+        hubs = stored(hubs)
+        discard(rows)
+        rows = stored(some.join(hubs.select("sig"), "sig", "left_semi"))
+        discard(some)
+    edges = stored(rows.join(hubs, "sig").filter("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
+    discard(rows, hubs)
+    return edges
 
 
 def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, shingles: int = SHINGLES, **broadcast) -> DataFrame:
@@ -221,20 +247,21 @@ def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, shingles: in
                 s = shingle_set(x.as_py(), k)
                 if len(s) >= least and (node := node_of(s)) not in seen:
                     seen.add(node)
-                    held.append((node, signatures(s, classes)))
-                    n += len(held[-1][1])
+                    held += [(node, sig, need * 2 + i) for i, (sig, need) in enumerate(signatures(s, classes))]
+                    n += sum(len(sig) for _, sig, _ in held[-2:])
                 if n >= shingles:
                     yield equal_parts(held)
                     held, n, seen = [], 0, set()
         if held:
             yield equal_parts(held)
 
-    near = same_signature(in_arrow(base.select("text"), sign, "sig long, node long, first long"))
+    near = same_signature(in_arrow(base.select("text"), sign, "sig long, node long, need int, kind int, salt long"))
     blocks = components(near)
     members = rows.join(small(blocks, 16, **broadcast), "node").groupBy("node", "root").agg(F.min(F.struct("doc_id", "th")).alias("r"), F.min("n").alias("n"))
     members = stored(members.select("node", "root", "r.doc_id", "r.th", "n"))
     edges = linked(base, sliced(members, t, shingles), t, k, **broadcast)
     links = components(edges)
+    discard(near)
     comp = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least")).join(links, "node", "left")
     comp = comp.select("node", "least", F.coalesce("root", "node").alias("root"))
     best = comp.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -246,26 +273,15 @@ def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, shingles: in
     return out
 
 
-def same_signature(signed: DataFrame) -> DataFrame:
-    """Edges (u, v) that join all nodes with an equal signature, from (sig, node, first); rows with ``first`` are edges already.
-
-    A signature's nodes are sorted and only the running minimum is held. Tasks have reported a signature once for
-    each SHINGLES signatures, so a hot one has few rows here.
-    """
-    run = F.min("node").over(Window.partitionBy("sig").orderBy("node").rowsBetween(Window.unboundedPreceding, 0))
-    rows = signed.withColumn("v", F.coalesce("first", run)).filter("node <> v")
-    return rows.select(F.col("node").alias("u"), "v").distinct()
-
-
 def sliced(members: DataFrame, t: Fraction, shingles: int) -> DataFrame:
     """members (node, root, n) with ``keys``, the searches (block, i, j) that a node takes part in.
 
-    A block of at most ``shingles`` is one search. A larger one is searched by size class, each with the class below
+    A block of at most twice ``shingles`` is one search. A larger one is searched by size class, each with the class below
     it, in pairs of slices of about ``shingles`` by node hash.
     """
     lows = F.array(*[F.lit(x) for x in Classes(t).lows])
     cls = F.size(F.filter(lows, lambda x: x <= F.col("n")))
-    whole = members.groupBy("root").agg(F.sum("n").alias("all")).filter(F.col("all") > shingles)
+    whole = members.groupBy("root").agg(F.sum("n").alias("all")).filter(F.col("all") > 2 * shingles)
     large = stored(members.join(whole.select("root"), "root").withColumn("block", F.explode(F.array(cls, cls + 1))).withColumn("own", cls))
     # A search of class c holds classes c - 1 and c; where class c is missing, search c - 1 covers it.
     counts = large.groupBy("root", "block").agg(F.ceil(F.sum("n") / shingles).cast("int").alias("slices"), F.max("own").alias("top")).filter("top = block")

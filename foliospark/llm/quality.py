@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed_rows, quoted, stored
+from .common import packed_rows, quoted, small_batches, stored
 
 SYMBOLS = b"#*$%&|<>"
 #: Upper fences by ratio: (quantile, inner quantile, factor); a value is too high above q + factor * (q - inner) + 1.
@@ -64,7 +64,7 @@ def counted(text: Column) -> Column:
 
 def measured(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns in ``keep``, the counts of every text and base_failed."""
-    counts = docs.select(*[quoted(c) for c in keep], counted(F.col("text")).alias("counts"))
+    counts = small_batches(docs).select(*[quoted(c) for c in keep], counted(F.col("text")).alias("counts"))
     return counts.select(*keep, "counts.*").withColumn("base_failed", F.expr(BASE))
 
 

@@ -215,23 +215,19 @@ def test_jaccard(spark, seed, limits):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equal_parts_of_tasks(spark, seed):
     r = random.Random(seed)
-    groups, out = defaultdict(set), []
+    has, out = {n: np.array(sorted({r.choice([1, 1, r.randrange(2, 70)]) for _ in range(5)})) for n in range(110)}, []
     for task in range(5):
-        held = [(n, np.array([r.choice([1, 1, r.randrange(2, 90)]) for _ in range(4)])) for n in range(task * 20, task * 20 + 30)]
-        for n, sig in held:
-            for x in sig.tolist():
-                groups[x].add(n)
+        held = [(n, has[n], 2 * (1 + n % 3)) for n in range(task * 20, task * 20 + 30)]
         out += [tuple(x.values()) for x in jaccard_join.equal_parts(held).to_pylist()]
-    signed = spark.createDataFrame([(s if f is None else 1000 + n, n, f) for s, n, f in out], "sig long, node long, first long").repartition(3)
-    of = {x["node"]: x["root"] for x in graph.components(jaccard_join.same_signature(signed)).collect()}
-    edges = [(n, min(g)) for g in groups.values() for n in g]
-    for _ in range(9):
-        least = {}
-        for a, b in edges:
-            least[a] = min(least.get(a, a), least.get(b, b), a, b)
-            least[b] = min(least.get(b, b), least[a])
-        edges += list(least.items())
-    assert of == {n: x for n, x in least.items() if sum(least[m] == x for m in least) > 1}
+    signed = spark.createDataFrame(out, "sig long, node long, need int, kind int, salt long").repartition(3)
+    rows = {(x, n) for n, s in has.items() for x in s.tolist()}
+    drop_single = lambda rows: {(x, n) for x, n in rows if any(y == x and m != n for y, m in rows)}
+    rows = drop_single(rows)
+    for _ in range(2):
+        parts = Counter(n for _, n in rows)
+        rows = drop_single({(x, n) for x, n in rows if parts[n] >= 1 + n % 3})
+    want = {(n, min(m for y, m in rows if y == x)) for x, n in rows}
+    assert got(jaccard_join.same_signature(signed), "u", "v") == Counter((a, b) for a, b in want if a != b)
 
 
 @pytest.mark.parametrize("seed", range(4))
