@@ -71,9 +71,10 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def small(table: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A stored table of fixed-width columns, marked for broadcast if its rows take ``limit`` bytes at most; else Spark picks the join."""
-    return F.broadcast(table) if table.count() * row_bytes <= limit else table
+def small(table: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, marked for broadcast if its rows, of ``row_bytes`` each, take ``limit`` bytes at most; else Spark picks the join."""
+    held = table.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).first()[0] or 0
+    return F.broadcast(table) if held <= limit else table
 
 
 def small_batches(df: DataFrame) -> DataFrame:

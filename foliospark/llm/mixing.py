@@ -87,15 +87,15 @@ def mixed(docs: DataFrame, limit: int = BROADCAST_BYTES, **options) -> DataFrame
     that repeat share their copies as evenly as can be; an empty table gives no rows; all columns are kept, whatever
     their names.
     """
-    plan = balance(docs, **options).groupBy("doc_id", "th", "source").agg(F.sum("copies").alias("k"), F.count("*").alias("m"))
+    plan = balance(docs, **options).groupBy("doc_id", "th", "source").agg(F.sum("copies").cast("int").alias("k"), F.count("*").cast("int").alias("m"))
     plan = stored(plan.select(F.col("doc_id").alias("mix_id"), F.col("th").alias("mix_th"), F.col("source").alias("mix_source"), "k", "m"))
-    side = small(plan, 64, limit)
+    side = small(plan, 24 + F.coalesce(F.octet_length("mix_source"), F.lit(0)), limit)
     rows = packed_rows(docs, id=F.col("doc_id").cast("long"), th=F.xxhash64("text"), source=F.col("source"))
     on = F.col("id").eqNullSafe(F.col("mix_id")) & (F.col("th") == F.col("mix_th")) & F.col("source").eqNullSafe(F.col("mix_source"))
     rows = rows.join(side, on)
-    some = rows.filter("m = 1 AND k > 0").select("row", F.explode(F.expr("sequence(1L, k)")))
+    some = rows.filter("m = 1 AND k > 0").select("row", F.explode(F.expr("sequence(1, k)")))
     repeated = rows.filter("m > 1 AND k > 0").withColumn("j", F.row_number().over(Window.partitionBy("mix_id", "mix_th", "mix_source").orderBy(F.xxhash64(F.col("row").cast("string")))) - 1)
-    repeated = repeated.withColumn("own", F.expr("(j + 1) * k div m - j * k div m")).filter("own > 0").select("row", F.explode(F.expr("sequence(1L, own)")))
+    repeated = repeated.withColumn("own", F.expr("(j + 1) * k div m - j * k div m")).filter("own > 0").select("row", F.explode(F.expr("sequence(1, cast(own AS int))")))
     return some.unionByName(repeated).select("row.*")
 
 
