@@ -65,7 +65,7 @@ def finding_kind(b: Column, fill: Column) -> Column:
 
 
 def row_kind(cells: Column, first_width: Column) -> Column:
-    """Kind of a layout row from its cell texts: one wide line is text, short cells without '=' are a label, several cells or arithmetic are preformatted."""
-    short = F.forall(cells, lambda c: (F.char_length(F.trim(c)) <= 4) & ~F.contains(c, F.lit("=")))
-    sums = F.exists(cells, lambda c: c.rlike(r"\d\s*[+×x*/=−-]\s*\d"))
-    return F.when((F.size(cells) == 1) & (first_width > 0.45), "text").when(short, "label").when((F.size(cells) > 1) | sums, "pre").otherwise("text")
+    """Kind of a layout row from its cell texts: one wide line is text, short cells without '=' are a label, several cells or an operator before a digit are preformatted."""
+    joined = F.array_join(cells, " ")
+    short = F.forall(cells, lambda c: F.char_length(c) <= 4) & ~F.contains(joined, F.lit("="))
+    return F.when((F.size(cells) == 1) & (first_width >= 0.45), "text").when(short, "label").when((F.size(cells) > 1) | joined.rlike(r"[=+×/]\s*\d"), "pre").otherwise("text")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -9,6 +10,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from .text import BASES, LETTERS, MARKS, norm
+
+
+_FOLD = str.maketrans(dict(zip(LETTERS, BASES)) | dict.fromkeys(MARKS))
+
+
+def plain(s: str) -> str:
+    """``text.norm`` of one string, for code that runs in Python."""
+    return re.sub("[^a-z0-9]", "", s.lower().translate(_FOLD))
+
+
+def ratio_of(a: str, b: str) -> float:
+    return SequenceMatcher(None, plain(a), plain(b)).ratio()
+
 
 @F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -16,23 +31,24 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def similar(a: Column, b: Column) -> Column:
-    """Ratcliff-Obershelp ratio of two normalised strings; null with null."""
-    return _ratio(a, b)
+    """Ratcliff-Obershelp ratio of the normal forms of two strings; null with null."""
+    return _ratio(norm(a), norm(b))
+
 
+def coverage_of(needle: str, hay: str, least: int = 3, lead: int = 5, spare: int = 10, good: float = 0.999) -> float:
+    """Best share of the needle's characters that a window of the hay holds in order; 1.0 for an empty or contained needle.
 
-def coverage_of(needle: str, hay: str, least: int = 3, spare: int = 10, good: float = 0.99) -> float:
-    """Best share of the needle's characters found in order in a window of the hay; windows start where blocks of ``least`` match."""
+    Every matching block of ``least`` characters places a window: it begins ``lead`` characters before the place that
+    the block gives to the needle's start, and has the needle's length and ``spare`` more. A ``good`` share ends the search.
+    """
     if not needle or needle in hay:
         return 1.0
-    seeds = {b.b - b.a for b in SequenceMatcher(None, needle, hay, autojunk=False).get_matching_blocks() if b.size >= least}
+    matched = lambda text: SequenceMatcher(None, needle, text, autojunk=False).get_matching_blocks()
+    places = dict.fromkeys(max(0, x.b - x.a - lead) for x in matched(hay) if x.size >= least)
     best = 0.0
-    for at in sorted(seeds):
-        at = max(0, at)
-        part = hay[at : at + len(needle) + spare]
-        found = sum(b.size for b in SequenceMatcher(None, needle, part, autojunk=False).get_matching_blocks())
-        best = max(best, found / len(needle))
-        if best >= good:
-            break
+    for at in places:
+        if best < good:
+            best = max(best, sum(x.size for x in matched(hay[at : at + len(needle) + spare])) / len(needle))
     return best
 
 

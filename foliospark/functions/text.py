@@ -21,7 +21,7 @@ def _tables() -> tuple[str, str, str]:
             if len(base) == 1 and base[0] != c and c.lower() == c:
                 src.append(c)
                 dst.append(base[0])
-    return "".join(src) + "đ", "".join(dst) + "d", "".join(m for m in marks if ord(m) < 0x3000)
+    return "".join(src) + "đ", "".join(dst) + "d", "".join(marks)
 
 
 LETTERS, BASES, MARKS = _tables()
@@ -132,6 +132,26 @@ def html_escape(c: Column) -> Column:
     return c
 
 
+#: Bullets that open a paragraph; what stands before a title that isn't part of it.
+BULLET = r"^[•●○◦·]\s*"
+TITLE_JUNK = r"^(?:[•●○◦·®\-\s]|\[\?\])*"
+
+
+def listed(c: Column) -> Column:
+    """A bullet at the start becomes a dash."""
+    return F.regexp_replace(c, BULLET, "- ")
+
+
+def bare_title(c: Column) -> Column:
+    """Without bullets, section icons and doubt marks at the start."""
+    return F.regexp_replace(c, TITLE_JUNK, "")
+
+
+def doubted(c: Column, conf: Column, least: float = 0.8, mark: str = " [?]") -> Column:
+    """The text with a doubt mark where its confidence is under ``least``; a null confidence doubts nothing."""
+    return F.when(conf < least, F.concat(c, F.lit(mark))).otherwise(c)
+
+
 def without_markup(c: Column, mark: str = "[?]") -> Column:
     """Corpus lines without quote and figure prefixes, fences and doubt marks."""
     c = F.regexp_replace(c, r"^```\w*$", "")

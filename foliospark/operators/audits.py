@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import coverage
-from ..functions.text import has_letters, has_words
+from ..functions.text import has_words, norm, strip
 from .joins import neighbours
 
 
@@ -24,11 +26,20 @@ def markers(df: DataFrame, by: list[str], page: str, order: list[str], low: int,
     return missing.select(cols).unionByName(twice.select(cols)).unionByName(out.select(cols)).unionByName(back.select(cols))
 
 
+def edge_lines(lines: DataFrame, least_chars: int = 12, raw: int = 80, chars: int = 50) -> DataFrame:
+    """(page, edge, line): the first and the last line of each page (page, line_no, text) with ``least_chars`` normal characters; of the first the beginning, of the last the end, normalised."""
+    own = lines.withColumn("text", strip(F.col("text"))).filter(F.char_length(norm(F.col("text"))) >= least_chars)
+    ends = own.groupBy("page").agg(F.min_by("text", "line_no").alias("first"), F.max_by("text", "line_no").alias("last"))
+    key = lambda edge: norm(F.when(edge == "first", F.substring("first", 1, raw)).otherwise(F.expr(f"right(last, {raw})")))
+    return ends.select("page", "first", "last", F.explode(F.array(F.lit("first"), F.lit("last"))).alias("edge")).select("page", "edge", key(F.col("edge")).alias("line")).withColumn(
+        "line", F.when(F.col("edge") == "first", F.substring("line", 1, chars)).otherwise(F.expr(f"right(line, {chars})")))
+
+
 def attribution(edges: DataFrame, page_text: DataFrame, low: int, high: int, least: float = 0.8) -> DataFrame:
-    """Checks that an edge line (page, line) scores best on its own page and at least ``least``; ties go to the lowest page, so a tie with the page before fails."""
+    """Checks that an edge line (page, edge, line) of ``edge_lines`` scores best on its own page and at least ``least``; ties go to the lowest page, so a tie with the page before fails."""
     near = neighbours(edges, "page", low, high).join(page_text.select(F.col("page").alias("near"), F.col("text").alias("hay")), "near", "left")
-    scored = near.withColumn("score", coverage(F.substring("line", 1, 50), F.coalesce("hay", F.lit(""))))
-    best = scored.groupBy("page", "line").agg(F.max_by("near", F.struct("score", -F.col("near"))).alias("best"), F.max(F.when(F.col("near") == F.col("page"), F.col("score"))).alias("own"))
+    scored = near.withColumn("score", coverage(F.col("line"), F.coalesce("hay", F.lit(""))))
+    best = scored.groupBy("page", "edge", "line").agg(F.max_by("near", F.struct("score", -F.col("near"))).alias("best"), F.max(F.when(F.col("near") == F.col("page"), F.col("score"))).alias("own"))
     return best.withColumn("ok", (F.col("best") == F.col("page")) & (F.col("own") >= least))
 
 
@@ -46,15 +57,23 @@ def other_pass(lines: DataFrame, page_text: DataFrame, second: DataFrame, least:
     return both.withColumn("confirmed", coverage(F.col("line"), F.col("hay"))).filter(F.col("confirmed") >= confirm).drop("hay")
 
 
-def findability(concepts: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """(row, listed near pages, queries) against (pages, text): hit pages by whole words and without spaces, and whether they fall within the listed pages ±1."""
-    q = concepts.withColumn("query", F.explode("queries"))
-    # The bounded concept table is the small side; a paragraph is read once for all queries.
-    pair = paragraphs.join(F.broadcast(q), has_letters(F.col("text"), F.col("query")))
-    found = pair.groupBy("row").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(has_words(F.col("text"), F.col("query")), F.col("pages")))))).alias("strict_pages"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("loose_pages"),
-    )
+def findability(concepts: DataFrame, paragraphs: DataFrame, block: int = 4_096) -> DataFrame:
+    """(row, listed near pages, queries) against (pages, text): hit pages by whole words and without spaces, and whether they fall within the listed pages ±1.
+
+    The concepts are a stated query set: all paragraphs are read for each ``block`` of them, with their forms without
+    spaces made once, and a block is what is broadcast.
+    """
+    tight = lambda c: F.replace(c, F.lit(" "), F.lit(""))
+    q = concepts.withColumn("query", F.explode("queries")).select("row", "query", F.transform("query", tight).alias("letters"))
+    n = max(1, -(-q.count() // block))
+    hay = paragraphs.withColumn("tight", tight(F.col("text")))
+    pairs = []
+    for i in range(n):
+        own = q if n == 1 else q.filter(F.pmod(F.xxhash64("row", "query"), F.lit(n)) == i)
+        pair = hay.join(F.broadcast(own), F.forall("letters", lambda p: F.contains(F.col("tight"), p)))
+        pairs.append(pair.select("row", "pages", has_words(F.col("text"), F.col("query")).alias("words")))
+    found = reduce(DataFrame.unionByName, pairs).select("row", F.explode("pages").alias("page"), "words").groupBy("row", "page").agg(F.max("words").alias("words"))
+    found = found.groupBy("row").agg(F.array_sort(F.collect_list(F.when(F.col("words"), F.col("page")))).alias("strict_pages"), F.array_sort(F.collect_list("page")).alias("loose_pages"))
     none = F.array().cast("array<int>")
     got = concepts.join(found, "row", "left").withColumn("strict_pages", F.coalesce("strict_pages", none)).withColumn("loose_pages", F.coalesce("loose_pages", none))
     return got.withColumn("strict", F.arrays_overlap("strict_pages", "near")).withColumn("loose", F.arrays_overlap("loose_pages", "near"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.similarity import plain, ratio_of
+from ..functions.text import BULLET, TITLE_JUNK
+
 
 def lower_quartile(df: DataFrame, by: list[str], value: str, out: str) -> DataFrame:
     """The sorted value at index n // 4, without interpolation."""
@@ -21,27 +26,69 @@ def line_step(df: DataFrame, by: list[str], y: str, low: float, high: float, def
     return g.groupBy(*by).agg(F.coalesce(F.median(F.when(inside, F.col("_g"))), F.lit(default)).alias(out))
 
 
-def paragraphs(rows: DataFrame, indent: float = 0.035, shift: float = 0.015, wide_gap: float = 1.7) -> DataFrame:
-    """(page, block_no, kind, text, indented) from layout rows (page, row_no, kind, text, x, y, margin, step).
+def paragraphs(rows: DataFrame, indent: float = 0.035, shift: float = 0.015, centred: float = 0.15, wide_gap: float = 1.7, figure_gap: float = 0.12, alike: float = 0.8) -> DataFrame:
+    """(page, block_no, kind, text, indented, labels) from layout rows (page, row_no, kind, cells, x, y, h, margin, step, title).
 
-    A row opens a block when the kind changes, or for text when it starts with a bullet, is indented and shifted
-    against the row before, or follows a wide gap. Blocks depend on rows before them, so a page is one group.
+    Blocks are text, pre, heading or figure. A gap over ``figure_gap`` below the row before and label rows make a
+    figure, or add to the open one. A row, or two rows, alike to the page's section title (null: none) are its heading,
+    once. Text opens a block after another kind, with a bullet, indented or under a centred row where it starts at
+    another x than the row before, or after a wide gap. Blocks depend on rows before them, so a page is one group.
     """
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        out: list = []
-        before = None
-        for r in p.sort_values("row_no").itertuples(index=False):
-            shifted = before is not None and r.x - before.x > shift
-            opens = before is None or r.kind != before.kind or r.kind == "text" and (r.text[:1] in "•-–" or r.x - r.margin > indent and shifted or r.y - before.y > wide_gap * r.step)
-            if opens:
-                out.append([r.page, len(out), r.kind, r.text, bool(r.x - r.margin > indent)])
+        page = p.sort_values("row_no").to_dict("records")
+        bare = [re.sub(TITLE_JUNK, "", " ".join(r["cells"])) for r in page]
+        title, out, before, taken = page[0]["title"], [], None, -1
+
+        def put(kind: str, text: str, indented: bool = False) -> None:
+            out.append([page[0]["page"], len(out), kind, text, indented, []])
+
+        def figure() -> None:
+            if not out or out[-1][2] != "figure":
+                put("figure", "")
+
+        def heading(i: int) -> int:
+            """How many rows from i on are the title."""
+            if not isinstance(title, str) or not title:
+                return 0
+            if ratio_of(bare[i], title) > alike:
+                return 1
+            start = plain(bare[i])[:10]
+            whole = " ".join([bare[i], *page[i + 1]["cells"]]) if i + 1 < len(page) else ""
+            return 2 if whole and start and plain(title).startswith(start) and ratio_of(whole, title) > alike else 0
+
+        for i, r in enumerate(page):
+            if i <= taken:
+                continue
+            if before is not None and r["y"] - before["y"] - before["h"] > figure_gap:
+                figure()
+            text, kind, n = " ".join(r["cells"]), r["kind"], heading(i)
+            if n:
+                put("heading", bare[i] if n == 1 else " ".join([bare[i], *page[i + 1]["cells"]]))
+                title, taken = None, i + n - 1
+            elif kind == "label":
+                figure()
+                out[-1][5] += list(r["cells"])
+            elif kind == "pre":
+                line = "    ".join(r["cells"])
+                if out and out[-1][2] == "pre" and before is not None and before["kind"] == "pre":
+                    out[-1][3] += "\n" + line
+                else:
+                    put("pre", line)
             else:
-                out[-1][3] += ("\n" if r.kind == "pre" else " ") + r.text
+                bullet = re.match(BULLET, text)
+                inset = r["x"] - r["margin"] > indent
+                moved = before is None or abs(r["x"] - before["x"]) > shift
+                goes_on = out and out[-1][2] == "text" and before is not None and before["kind"] == "text" and not bullet
+                goes_on = goes_on and not (moved and (inset or before["x"] - r["margin"] > centred)) and r["y"] - before["y"] <= wide_gap * r["step"]
+                if goes_on:
+                    out[-1][3] += " " + text
+                else:
+                    put("text", re.sub(BULLET, "- ", text), inset or bool(bullet))
             before = r
-        return pd.DataFrame(out, columns=["page", "block_no", "kind", "text", "indented"])
+        return pd.DataFrame(out, columns=["page", "block_no", "kind", "text", "indented", "labels"])
 
-    return rows.groupBy("page").applyInPandas(run, "page int, block_no int, kind string, text string, indented boolean")
+    return rows.groupBy("page").applyInPandas(run, "page int, block_no int, kind string, text string, indented boolean, labels array<string>")
 
 
 def joined_pages(blocks: DataFrame, notes: DataFrame, by: list[str]) -> DataFrame:

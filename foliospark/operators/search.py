@@ -34,17 +34,13 @@ def hits(lines: DataFrame, terms: list[str], any_mode: bool = False, loose: bool
 def keyword_search(book: DataFrame, terms: list[str], any_mode: bool = False, limit: int = 20, index: DataFrame | None = None) -> DataFrame:
     """Index hits, then book hits, at most ``limit`` of each, in (path, line_no) order; the loose pass (without white space) runs only if the strict one finds nothing in any source.
 
-    One plan: both passes are flagged, and loose rows stay only where no strict row exists.
+    Whether there is a strict hit is asked first (the scan stops at one), so that the loose pass is planned only if needed.
     """
     sources = [(0, index), (1, book)] if index is not None else [(1, book)]
+    loose = all(hits(df, terms, any_mode).isEmpty() for _, df in sources)
     top = lambda df, s: df.orderBy("path", "line_no").limit(limit).withColumn("source_no", F.lit(s))
-    passes = []
-    for loose in (False, True):
-        per = [top(hits(df, terms, any_mode, loose), s) for s, df in sources]
-        passes.append(reduce(DataFrame.unionByName, per).withColumn("loose", F.lit(loose)))
-    strict = passes[0].limit(1).select(F.lit(1).alias("_one"))
-    fallback = passes[1].join(F.broadcast(strict), F.lit(True), "left_anti")  # at most one row
-    return passes[0].unionByName(fallback)
+    per = [top(hits(df, terms, any_mode, loose), s) for s, df in sources]
+    return reduce(DataFrame.unionByName, per).withColumn("loose", F.lit(loose))
 
 
 def page_view(lines: DataFrame, page: int) -> DataFrame:

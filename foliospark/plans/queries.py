@@ -164,7 +164,7 @@ def printed_page_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CASE WHEN a = b AND a <> p THEN 'w' || a WHEN a IS NULL AND b IS NULL OR coalesce(a = p, false) OR coalesce(b = p, false) THEN 'w' || p ELSE 'w' || p || '[?]' END AS word,
     coalesce(a = b AND a <> p, false) AS changed, NOT coalesce(a = b AND a <> p, false) AND NOT (a IS NULL AND b IS NULL OR coalesce(a = p, false) OR coalesce(b = p, false)) AS unsure, count(*) AS n FROM r GROUP BY ALL""")
 def word_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three readings of a word."""
+    """A2 (the chosen word): three readings of a word."""
     word = lambda c: F.concat(F.lit("w"), c.cast("string"))
     low = lambda c: F.nullif((c % 4).cast("int"), F.lit(3))
     r = table(spark, sf_dir, "lineitem").select(vote.voted(word((F.col("l_quantity").cast("int") % 4)), word(low(F.col("l_linenumber"))), word(low(F.col("l_partkey")))).alias("v"))
@@ -187,7 +187,7 @@ def line_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     s AS (SELECT source, count(*) AS docs, CAST(sum(chars) AS BIGINT) AS chars, CAST(sum(lines) AS BIGINT) AS lines, count_if(chars < 400) AS few FROM d GROUP BY source)
     SELECT *, rank() OVER (ORDER BY few DESC, source) AS place FROM s""")
 def corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts by source, sources ranked by texts of under 400 characters."""
+    """Counts by source, sources ranked by texts of under 400 characters."""
     from pyspark.sql import Window
 
     d = table(spark, sf_dir, "documents").select("source", F.char_length("text").alias("chars"), (F.regexp_count("text", F.lit("\n")) + 1).alias("lines"))
@@ -224,7 +224,7 @@ def printed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH r AS (SELECT l_orderkey AS k, l_linenumber AS n, l_linenumber AS a, l_linenumber + CAST(l_quantity AS INT) % 5 - 1 AS b, CAST(l_partkey AS INT) % 9 AS c FROM lineitem), p AS (SELECT k, n, a, b, c, unnest(list_distinct(list_concat(range(a, b + 1), [c]))) AS page FROM r)
     SELECT page, count(*) AS n_lists FROM p GROUP BY page""")
 def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranges and single pages; reversed ranges are empty."""
+    """Ranges and single pages; reversed ranges are empty."""
     li = table(spark, sf_dir, "lineitem")
     s = F.concat(F.col("l_linenumber").cast("string"), F.when(F.col("l_partkey") % 2 == 0, "-").otherwise("–"), (F.col("l_linenumber") + F.col("l_quantity").cast("int") % 5 - 1).cast("string"), F.lit("; "), (F.col("l_partkey") % 9).cast("string"))
     return li.select(F.explode(text.page_list(s)).alias("page")).groupBy("page").agg(F.count("*").alias("n_lists"))
@@ -281,7 +281,7 @@ def box_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH l AS (SELECT path, line_no, {FOLD.format('text')} AS t FROM ({LINES})), r AS (SELECT t FROM l WHERE length(t) >= 12 GROUP BY t HAVING count(DISTINCT path) >= 3)
     SELECT path, count(*) AS n_lines, count_if(t IN (SELECT t FROM r)) AS n_furniture FROM l GROUP BY path""")
 def repeated_furniture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1, F2, F4 (exact parts): lines of twelve characters or more that stand in three documents or more."""
+    """Repeated furniture: lines of twelve characters or more that stand in three documents or more."""
     t = doc_lines(spark, sf_dir).withColumn("t", text.fold(F.col("text")))
     r = t.filter(F.char_length("t") >= 12).groupBy("t").agg(F.count_distinct("path").alias("n")).filter("n >= 3").select("t", F.lit(1).alias("hit"))
     return t.join(r, "t", "left").groupBy("path").agg(F.count("*").alias("n_lines"), F.count("hit").alias("n_furniture"))
@@ -314,7 +314,7 @@ def aligned_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = group.join(first.withColumnRenamed("doc_id", "rep"), "rep", "left").select("same", "rep", F.coalesce("first", "rep").alias("page")).persist()
     side = lambda c, t: reps.select(F.col("doc_id").alias(c), F.col("text").alias(t))
     both = star.filter("page < rep").join(side("page", "a"), "page").join(side("rep", "b"), "rep").repartition("rep")
-    far = both.select("same", "page", vote.alignment(text.tokens(F.col("a")), text.tokens(F.col("b"))).alias("got"), similar(text.norm(F.col("a")), text.norm(F.col("b"))).alias("likeness"))
+    far = both.select("same", "page", vote.alignment(text.tokens(F.col("a")), text.tokens(F.col("b"))).alias("got"), similar(F.col("a"), F.col("b")).alias("likeness"))
     n = F.size(text.tokens(F.col("a"))).cast("long")
     near = star.filter("page = rep").join(side("page", "a"), "page").filter(n > 0)
     near = near.select("same", "page", F.struct(n.alias("words"), n.alias("aligned"), F.lit(0).cast("long").alias("changed")).alias("got"), F.lit(1.0).alias("likeness"))
@@ -335,7 +335,7 @@ def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def concept_findability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items as concepts, documents as paragraphs; listed pages are the first ten documents."""
+    """Benchmark items as concepts, documents as paragraphs; listed pages are the first ten documents."""
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row"), joins.near_set(F.sequence(F.lit(1), F.lit(10))).alias("near"), F.array(text.conjunction(F.array_join(F.slice(F.split("text", " "), 1, 3), " + "))).alias("queries"))
     d = table(spark, sf_dir, "documents").select(F.array(F.col("doc_id").cast("int")).alias("pages"), text.clean(F.col("text")).alias("text"))
     return audits.findability(b, d).select("row", "strict", "loose", F.size("strict_pages").alias("n_strict"), F.size("loose_pages").alias("n_loose"))

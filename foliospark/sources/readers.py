@@ -58,9 +58,16 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line_no", "text")).withColumn("line_no", F.col("line_no") + 1)
 
 
-def corpus_lines(spark: SparkSession, path: str, marker: str = r"<!--\s*pdf\s+(\d+)\s*\|\s*page\s+(\S+)\s*-->", seed: bool = False) -> DataFrame:
-    """(path, line_no, text, page, is_marker): files without a leading underscore; each line has the page of the last marker."""
-    lines = text_lines(spark, path).filter("NOT startswith(path, '_')")
+#: The page marker of a corpus line (page, printed number) and the beginnings of names that hold no pages.
+MARKER = r"<!-- pdf:(\d+) \| sach:(\S+) -->"
+NO_PAGES = ("_", "00-muc-luc")
+
+
+def corpus_lines(spark: SparkSession, path: str, marker: str = MARKER, seed: bool = False, skip: tuple[str, ...] = NO_PAGES) -> DataFrame:
+    """(path, line_no, text, page, is_marker) of the files whose names don't begin with one of ``skip``; each line has the page of the last marker."""
+    lines = text_lines(spark, path)
+    for start in skip:
+        lines = lines.filter(~F.startswith("path", F.lit(start)))
     number = F.regexp_extract("text", marker, 1)
     lines = lines.withColumn("marker", F.when(number != "", number.cast("int")))
     return carried(lines, "marker", ["path"], ["line_no"], "page", seed).withColumn("is_marker", F.col("marker").isNotNull()).drop("marker")

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.functions import boxes, syllables, text
+from foliospark.functions import boxes, furniture, syllables, text
 from foliospark.functions.similarity import coverage_of
 from foliospark.operators import audits, joins, layout, order, regions, search, vote
 from foliospark.sources import readers, sinks
@@ -53,7 +53,7 @@ def test_collation(spark):
     assert [r["n"] for r in df.collect()] == ["abc", "ab c", "aw", "az", "ba", "bà", "bá", "bã", "bả", "bạ"]
 
 
-@pytest.mark.parametrize("needle, hay, want", [("", "x", 1.0), ("abc", "xxabcxx", 1.0), ("abcdef", "zzz", 0.0), ("abcdefgh", "zzabcdxfghzz", 7 / 8)])
+@pytest.mark.parametrize("needle, hay, want", [("", "x", 1.0), ("abc", "xxabcxx", 1.0), ("abcdef", "zzz", 0.0), ("abcdefgh", "zzabcdxfghzz", 7 / 8), ("abcdefxyzwvu", "ab1cd2ef34xyzwvu", 1.0)])
 def test_coverage(needle, hay, want):
     assert coverage_of(needle, hay) == pytest.approx(want)
 
@@ -156,7 +156,7 @@ def test_page_scan():
     assert len(found) == 1 and found[0][4] == 200
 
 
-@pytest.mark.parametrize("cells, w, want", [(["some words"], 0.5, "text"), (["1", "2"], 0.2, "label"), (["1 + 2", "abcde"], 0.2, "pre"), (["abcde"], 0.2, "text")])
+@pytest.mark.parametrize("cells, w, want", [(["some words"], 0.5, "text"), (["1", "2"], 0.2, "label"), (["1 + 2", "abcde"], 0.2, "pre"), (["abcde = 7"], 0.2, "pre"), (["1 - 2 abc"], 0.2, "text"), (["1", "= 2"], 0.2, "pre"), (["some words"], 0.45, "text"), (["abcde"], 0.2, "text")])
 def test_row_kind(spark, cells, w, want):
     assert spark.createDataFrame([(cells, w)], "c array<string>, w double").select(boxes.row_kind(F.col("c"), F.col("w"))).first()[0] == want
 
@@ -179,7 +179,7 @@ def test_search_strict_then_loose(spark):
 
 def test_attribution_ties_fail(spark):
     text_ = spark.createDataFrame([(1, "same line here"), (2, "same line here"), (3, "other own words")], "page int, text string")
-    edges = spark.createDataFrame([(2, "same line here"), (3, "other own words")], "page int, line string")
+    edges = spark.createDataFrame([(2, "first", "same line here"), (3, "last", "other own words")], "page int, edge string, line string")
     assert {r["page"]: r["ok"] for r in audits.attribution(edges, text_, 1, 3).collect()} == {2: False, 3: True}
 
 
@@ -229,18 +229,53 @@ def test_aligned_copies_of_a_whole_group(spark, tmp_path):
     assert {r["other"]: (r["page"], r["words"], r["aligned"], r["changed"], r["likeness"]) for r in queries.aligned_copies(spark, str(tmp_path)).collect()} == want
 
 
+ROWS = "page int, row_no int, kind string, cells array<string>, x double, y double, h double, margin double, step double, title string"
+
+
 def test_layout(spark):
-    rows = [(1, 0, "text", "First part,", 0.1, 0.1, 0.1, 0.02), (1, 1, "text", "goes on", 0.1, 0.12, 0.1, 0.02), (1, 2, "text", "New one", 0.15, 0.14, 0.1, 0.02), (2, 0, "text", "and ends.", 0.1, 0.1, 0.1, 0.02)]
-    blocks = layout.paragraphs(spark.createDataFrame(rows, "page int, row_no int, kind string, text string, x double, y double, margin double, step double"))
+    rows = [(1, 0, "text", ["First part,"], 0.1, 0.1, 0.01, 0.1, 0.02, None), (1, 1, "text", ["goes", "on"], 0.1, 0.12, 0.01, 0.1, 0.02, None), (1, 2, "text", ["New one"], 0.15, 0.14, 0.01, 0.1, 0.02, None), (2, 0, "text", ["and ends."], 0.1, 0.1, 0.01, 0.1, 0.02, None)]
+    blocks = layout.paragraphs(spark.createDataFrame(rows, ROWS))
     assert [r["text"] for r in blocks.orderBy("page", "block_no").collect()] == ["First part, goes on", "New one", "and ends."]
     notes = spark.createDataFrame([], "page int, note string")
     got = layout.joined_pages(blocks.withColumn("no", F.lit("01")), notes, ["no"]).orderBy("para_no").collect()
     assert [(r["pages"], r["text"]) for r in got] == [([1], "First part, goes on"), ([1, 2], "New one and ends.")]
 
 
+def test_layout_kinds(spark):
+    line = lambda i, kind, text, y, x=0.1: (1, i, kind, text if isinstance(text, list) else [text], x, y, 0.02, 0.1, 0.025, "A Long Title")
+    rows = [
+        line(0, "text", "• ® A Long", 0.10), line(1, "text", "Title", 0.125), line(2, "text", "Prose that", 0.15), line(3, "text", "goes on", 0.175),
+        line(4, "text", "centred line", 0.20, 0.4), line(5, "text", "back at the margin", 0.225), line(6, "text", "• a point", 0.25), line(7, "label", ["ab", "cd"], 0.50),
+        line(8, "label", ["e"], 0.52), line(9, "pre", ["1", "2"], 0.54), line(10, "pre", ["3", "4"], 0.56), line(11, "text", "A long title", 0.58), line(12, "text", "left of it", 0.60, 0.05),
+    ]
+    got = [(r["kind"], r["text"], r["indented"], r["labels"]) for r in layout.paragraphs(spark.createDataFrame(rows, ROWS)).orderBy("block_no").collect()]
+    assert got == [
+        ("heading", "A Long Title", False, []), ("text", "Prose that goes on", False, []), ("text", "centred line", True, []), ("text", "back at the margin", False, []),
+        ("text", "- a point", True, []), ("figure", "", False, ["ab", "cd", "e"]), ("pre", "1    2\n3    4", False, []), ("text", "A long title left of it", False, []),
+    ]
+
+
+def test_furniture_and_doubt(spark):
+    rows = [("www. SiteMark .org", 0.5), ("visit sitemark now", 0.5), ("THE RUNNING HEAD", 0.05), ("The Running Head", 0.5), ("- 12 -", 0.95), ("12", 0.5), (None, 0.5)]
+    t = spark.createDataFrame(rows, "t string, y double")
+    got = t.select(furniture.is_furniture(F.col("t"), F.col("y"), "sitemark.org", ("sitemarkn",), ("The running head",)).alias("f"), furniture.page_number(F.col("t"), F.col("y")).alias("n"))
+    assert [tuple(r) for r in got.collect()] == [(True, None), (True, None), (True, None), (False, None), (True, 12), (False, None), (False, None)]
+    t = spark.createDataFrame([("a", 0.79), ("b", 0.8), ("c", None)], "t string, c double").select(text.doubted(F.col("t"), F.col("c")).alias("t"))
+    assert [r["t"] for r in t.collect()] == ["a [?]", "b", "c"]
+    marks = spark.createDataFrame([("e\ufe20a\ufe0f", "• ◦ [?] Title", "· x")], "a string, b string, c string").select(text.fold(F.col("a")), text.bare_title(F.col("b")), text.listed(F.col("c")))
+    assert tuple(marks.first()) == ("ea", "Title", "- x")
+
+
+def test_edge_lines(spark):
+    lines = [(1, 1, "short"), (1, 2, " First line of some length, " + "x" * 90), (1, 3, "middle line of it"), (1, 4, "y" * 90 + " The very last line"), (1, 5, "12"), (2, 1, "no")]
+    got = {(r["page"], r["edge"]): r["line"] for r in audits.edge_lines(spark.createDataFrame(lines, "page int, line_no int, text string")).collect()}
+    assert got == {(1, "first"): ("firstlineofsomelength" + "x" * 90)[:50], (1, "last"): "y" * 35 + "theverylastline"}
+
+
 def test_sources_and_sinks(spark, tmp_path):
-    (tmp_path / "01-a.md").write_text("head\n<!-- pdf 5 | page 3 -->\none\n")
+    (tmp_path / "01-a.md").write_text("head\n<!-- pdf:5 | sach:3 -->\none\n")
     (tmp_path / "_x.md").write_text("no")
+    (tmp_path / "00-muc-luc.md").write_text("no")
     lines = readers.corpus_lines(spark, str(tmp_path / "*.md"), seed=True).orderBy("line_no").collect()
     assert [(r["path"], r["line_no"], r["page"]) for r in lines] == [("01-a.md", 1, 5), ("01-a.md", 2, 5), ("01-a.md", 3, 5)]
     (tmp_path / "p.json").write_text('{"page":3,"width":8,"height":9,"lines":[{"text":" a ","conf":0.9,"x":0.1,"y":0.2,"w":0.6,"h":0.02},{"text":" ","conf":1,"x":0,"y":0,"w":0,"h":0}]}')
