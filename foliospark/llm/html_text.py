@@ -1,24 +1,30 @@
 """HTML main text: a host-wide suffix array over every page's blocks, with page structure as a prior.
 
 A page's blocks, without those that structure sets aside, are a token stream. The suffixes of all streams of a host,
-cut to ``DEPTH`` tokens, are grouped by a shuffle, so no task holds a host. Heads on many distinct pages form maximal
-repeats; a repeat whose pages go on in different ways at one of its ends is boilerplate, also inside an article.
+cut to ``DEPTH`` tokens, are grouped by a shuffle, so no task holds a host. The array is sparse at first: of ``GAP``
+neighbouring suffixes the one with the least hash, and the first and last of a block. Around those that many distinct
+pages share, all suffixes are grouped. They form maximal repeats; a repeat whose pages go on in different ways at one
+of its ends is boilerplate, also inside an article.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from functools import reduce
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import stored
+from .common import in_arrow, stored
+from .shingles import gram_hashes, mixed, word_hashes
 
 DEPTH = 6
+GAP = 8
 #: Repeats that only two pages hold are copied text, not boilerplate, from so many tokens in a page.
 COPIED = 50
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
@@ -110,11 +116,34 @@ def stream(texts: list[str]) -> list[str]:
     return [t for x in texts for t in (*x.split(" "), "\n")]
 
 
-def suffix_heads(host: str, texts: list[str]) -> list[int]:
-    """Hashes of the host and the DEPTH-token heads of a stream's suffixes."""
+def suffix_heads(host: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the host and the DEPTH-token heads of a stream's suffixes, and the places of the sparse ones."""
     tokens = stream(texts)
-    out = [xxh3_64_intdigest(" ".join(tokens[i : i + DEPTH]), seed) for seed in [xxh3_64_intdigest(host)] for i in range(len(tokens) - DEPTH + 1)]
-    return [x - (1 << 64) if x >> 63 else x for x in out]
+    h = gram_hashes(word_hashes([t.encode("utf-8", "surrogatepass") for t in tokens]), DEPTH)
+    h = mixed(h ^ np.uint64(xxh3_64_intdigest(host)))
+    if len(h) <= GAP:
+        return h.view(np.int64), np.arange(len(h))
+    least = np.arange(len(h) - GAP + 1) + np.lib.stride_tricks.sliding_window_view(h, GAP).argmin(axis=1)
+    ends = np.cumsum([t.count(" ") + 2 for t in texts])
+    edges = np.concatenate([[0], ends, ends - DEPTH])
+    return h.view(np.int64), np.unique(np.concatenate([least, edges[(edges >= 0) & (edges < len(h))]]))
+
+
+def among(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are there, and their places."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return sorted_keys[at] == keys, at
+
+
+def around(hit: np.ndarray) -> np.ndarray:
+    """Places less than GAP from a hit."""
+    edge = np.zeros(len(hit) + 1, np.int64)
+    at = np.flatnonzero(hit)
+    np.add.at(edge, np.maximum(at - GAP + 1, 0), 1)
+    np.add.at(edge, np.minimum(at + GAP, len(hit)), -1)
+    return np.cumsum(edge)[:-1] > 0
 
 
 def boilerplate(spots: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
@@ -146,62 +175,97 @@ def pruned(texts: list[str], inside: list[bool], ranges: list[tuple[int, int]])
     return " ".join(out)
 
 
-def main_texts(pages: DataFrame) -> DataFrame:
+def main_texts(pages: DataFrame, limit: int = 32 << 20) -> DataFrame:
     """page_id, url, text, n_chars of every row.
 
     The main text is the declared article (article, main), else the page's open blocks, without the parts that
     structure sets aside and without boilerplate: repeats on at least the square root of the host's distinct pages
-    (two at least). Null, empty or all-boilerplate pages give empty text; a null url is a host of its own; equal
-    pages don't count as distinct, so a copy keeps its text; an empty table gives no rows; other columns are not read.
+    (two at least); repeats under DEPTH + GAP - 1 tokens count where they begin or end a block. Null, empty or
+    all-boilerplate pages give empty text; a null url is a host of its own; equal pages don't count as distinct, so a
+    copy keeps its text; an empty table gives no rows; other columns are not read.
+
+    Repeated heads reach the tasks by broadcast of at most about ``limit`` bytes: where there are more, hosts are dealt
+    into so many groups that each group's fit, and the groups run one after the other.
     """
+    spark = pages.sparkSession
 
     def parse(batches):
         for b in batches:
             rows = []
-            for url, src in zip(b.column(2).to_pylist(), b.column(4).to_pylist()):
-                found = [(t, inside) for t, inside, aside in page_blocks(src) if not aside]
+            for url, src in zip(b.column(2).to_pylist(), b.column(4)):
+                found = [(t, inside) for t, inside, aside in page_blocks(src.as_py()) if not aside]
                 rows.append((host_of(url), [t for t, _ in found], [x for _, x in found]))
             cols = list(zip(*rows)) if rows else [[], [], []]
             h, t, i = (pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()))))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), h, b.column(3), t, i], ["uid", "page_id", "url", "host", "th", "blocks", "inside"])
 
-    def heads_of(batches):
-        for b in batches:
-            keys, need = [], []
-            for host, texts, n in zip(*(c.to_pylist() for c in b.columns)):
-                own = set(suffix_heads(host, texts))
-                keys += own
-                need += [n] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(need, pa.int32())], ["key", "need"])
-
-    def spots_of(batches):
+    def sparse_of(batches):
         for b in batches:
-            cols = [[], [], [], [], []]
-            for uid, host, texts in zip(*(c.to_pylist() for c in b.columns)):
-                keys = suffix_heads(host, texts)
-                edge = [0] * min(DEPTH, len(keys))
-                for col, new in zip(cols, ([uid] * len(keys), range(len(keys)), keys, edge + keys[:-DEPTH], keys[DEPTH:] + edge)):
-                    col += new
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["uid", "at", "key", "before", "after"])
-
+            own, need = [], []
+            for host, texts, n, slot in zip(*(c.to_pylist() for c in b.columns)):
+                heads, sparse = suffix_heads(host, texts)
+                own.append(np.unique(heads[sparse]))
+                need.append((np.full(len(own[-1]), slot), np.full(len(own[-1]), n)))
+            yield from summed([(0, np.concatenate(own), *map(np.concatenate, zip(*need)))] if own else [])
+
+    slot = F.pmod(F.xxhash64("host"), F.lit(1 << 20))
     base = pages.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url", F.xxhash64("html").alias("th"), "html")
-    parsed = stored(base.mapInArrow(parse, "uid long, page_id long, url string, host string, th long, blocks array<string>, inside array<boolean>"))
-    copies = parsed.groupBy("host", "th").agg(F.min("uid").alias("first"), F.count("*").alias("n"), F.max(F.size("blocks")).alias("size"))
-    copies = stored(copies)
+    parsed = stored(in_arrow(base, parse, "uid long, page_id long, url string, host string, th long, blocks array<string>, inside array<boolean>"))
+    copies = stored(parsed.groupBy("host", "th").agg(F.min("uid").alias("first"), F.count("*").alias("n"), F.max(F.size("blocks")).alias("size")))
     needs = stored(copies.filter("size > 0").groupBy("host").agg(F.greatest(F.lit(2), F.ceil(F.sqrt(F.count("*")))).cast("int").alias("need")))
     again = stored(copies.filter("n > 1").select("host", "th", "first"))  # written, so that Spark knows the sizes and moves no texts for small ones
-    distinct = parsed.join(again, ["host", "th"], "left").filter("first IS NULL OR first = uid").join(needs, "host")
-    held = distinct.select("host", "blocks", "need").mapInArrow(heads_of, "key long, need int")
-    repeated = stored(held.groupBy("key").agg(F.count("*").alias("pages"), F.max("need").alias("need")).filter("pages >= need").select("key", "pages"))
-    spots = stored(parsed.select("uid", "host", "blocks").mapInArrow(spots_of, "uid long, at long, key long, before long, after long").join(repeated, "key"))
-    ways = lambda c: spots.select("key", c).distinct().groupBy("key").agg(F.count("*").alias(c))
-    ways = stored(ways("before").join(ways("after"), "key"))
-    by_page = spots.select("uid", "at", "key", "pages").join(ways, "key").groupBy("uid").agg(F.collect_list(F.struct("at", "pages", "before", "after")).alias("spots"))
+    distinct = parsed.join(again, ["host", "th"], "left").filter("first IS NULL OR first = uid").join(needs, "host").select("host", "blocks", "need", slot.alias("slot"))
+    many = lambda df: df.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("pages"), F.max("need").alias("need"), F.max("other").alias("slot")).filter("pages >= need")
+    sparse = stored(many(in_arrow(distinct, sparse_of, COUNTS)).select("key", "slot"))
+    groups = max(1, -(-sparse.count() * (GAP * 32) // limit))
+    of = lambda df, g, c: df if groups == 1 else df.filter(F.pmod(c, F.lit(groups)) == g)
+    out = [pruned_pages(of(parsed, g, slot), of(distinct, g, F.col("slot")), of(sparse, g, F.col("slot")), spark) for g in range(groups)]
+    return reduce(DataFrame.unionByName, out).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+COUNTS = "kind int, key long, other long, n long, need int"
+
+
+def summed(parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]):
+    """A batch of COUNTS with a row for each different (kind, key, other)."""
+    for kind, key, other, need in parts:
+        pair, first, n = np.unique(np.stack([key, other]), axis=1, return_index=True, return_counts=True)
+        cols = [np.full(len(n), kind, np.int32), pair[0], pair[1], n.astype(np.int64), need[first].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [c.split()[0] for c in COUNTS.split(", ")])
+
+
+def pruned_pages(parsed: DataFrame, distinct: DataFrame, sparse: DataFrame, spark: SparkSession) -> DataFrame:
+    """page_id, url and text of parsed pages; ``sparse``: the sparse heads that many distinct pages share."""
+    known = spark.sparkContext.broadcast(np.sort(sparse.toArrow().column("key").to_numpy()))
+
+    def counts_of(batches):
+        for b in batches:
+            parts = ([], [], [])
+            for host, texts, n, _ in zip(*(c.to_pylist() for c in b.columns)):
+                heads, _ = suffix_heads(host, texts)
+                near = np.flatnonzero(around(among(heads, known.value)[0]))
+                key = heads[near]
+                edge = np.zeros(DEPTH, np.int64)
+                before, after = np.concatenate([edge, heads])[near], np.concatenate([heads, edge])[near + DEPTH]
+                page = np.unique(key)
+                for part, k, o in zip(parts, (page, key, key), (np.zeros(len(page), np.int64), before, after)):
+                    part.append((k, o, np.full(len(k), n)))
+            yield from summed([(kind, *map(np.concatenate, zip(*part))) for kind, part in enumerate(parts) if part])
+
+    counts = in_arrow(distinct, counts_of, COUNTS).groupBy("kind", "key", "other").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    ways = lambda kind: F.count_if(F.col("kind") == kind)
+    heads = counts.groupBy("key").agg(F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"), ways(1).alias("before"), ways(2).alias("after"), F.max("need").alias("need"))
+    heads = heads.filter("pages >= need").select("key", "pages", "before", "after").toArrow().sort_by("key")
+    table = spark.sparkContext.broadcast([heads.column(c).to_numpy() for c in ("key", "pages", "before", "after")])
 
     def prune(batches):
+        key, *facts = table.value
         for b in batches:
-            texts = [pruned(t, i, boilerplate([tuple(x.values()) for x in s or []])) for t, i, s in zip(*(c.to_pylist() for c in b.columns[2:]))]
+            texts = []
+            for host, blocks, inside in zip(*(c.to_pylist() for c in b.columns[2:])):
+                there, at = among(suffix_heads(host, blocks)[0], key)
+                place = np.flatnonzero(there)
+                texts.append(pruned(blocks, inside, boilerplate(list(zip(place.tolist(), *(f[at[place]].tolist() for f in facts))))))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    judged = parsed.join(stored(by_page), "uid", "left").select("page_id", "url", "blocks", "inside", "spots")
-    return judged.mapInArrow(prune, "page_id long, url string, text string").withColumn("n_chars", F.char_length("text").cast("long"))
+    return in_arrow(parsed.select("page_id", "url", "host", "blocks", "inside"), prune, "page_id long, url string, text string")

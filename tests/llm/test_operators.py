@@ -332,6 +332,14 @@ def test_html_stubs_and_copies(spark):
     assert texts_of(spark, [f"<article>{t}</article>" for t in near[:2]]) == near[:2]
 
 
+def test_html_groups_of_hosts(spark):
+    r = random.Random(5)
+    rows = [(100 * h + i, f"http://h{h}/{i}", page(f"<div>{foot}</div><article><p>{unlike(r, 30)}</p>{foot}<p>{unlike(r, 20)}</p></article>")) for h in range(6) for foot in [unlike(r, 25)] for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole, parts = (got(html_text.main_texts(df, **k), "page_id", "text") for k in ({}, {"limit": 20_000}))
+    assert whole == parts and all(len(t.split(" ")) == 50 for _, t in whole)
+
+
 def test_empty_tables(nothing, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     for f in (substring_dedup.dedup, lambda d: bpe.token_counts(d, path), lambda d: bpe.round_trip(d, path), fingerprints.edited_fingerprints, secrets.scan, sharding.shard_by_bytes, quality.verdicts, jaccard_join.classes_of, mixing.balance):
