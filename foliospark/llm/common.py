@@ -21,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 ARROW_ROWS = 1_024
 BROADCAST_BYTES = 8 << 20
+MAX_RANGES = 1 << 16
+MAX_SAMPLE = 1 << 18
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -38,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
 
     Once it is written, Spark removes the shuffle files of the write; ``discard`` removes the table itself.
@@ -46,7 +48,7 @@ def stored(df: DataFrame) -> DataFrame:
     spark = session_of(df)
     path = f"{shared_dir(spark)}/folio/{uuid.uuid4().hex}"
     with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.folio_path = path
     return out
@@ -113,9 +115,11 @@ def n_words(text: Column | str) -> Column:
 def splitters(df: DataFrame, key: Column, weight: Column, n_ranges: int, per_range: int = 32) -> list:
     """Sampled range boundaries over ``key``: rows are drawn with a chance that grows with ``weight``.
 
-    The draw is a hash test, so reruns agree. The expected sample is ``n_ranges * per_range`` keys, whatever
-    the table's size, so the driver holds a bounded list.
+    The draw is a hash test, so reruns agree. There are at most MAX_RANGES ranges and about MAX_SAMPLE sampled keys,
+    whatever the table's size, so the driver and the plan hold a bounded list; beyond that, ranges hold more rows.
     """
+    n_ranges = min(n_ranges, MAX_RANGES)
+    per_range = max(4, min(per_range, MAX_SAMPLE // max(1, n_ranges)))
     total = df.agg(F.sum(weight.cast("double"))).first()[0] or 0.0
     if n_ranges < 2 or total <= 0:
         return []

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import range_of, splitters, stored
+from .common import MAX_RANGES, range_of, splitters, stored
 
 KEY = "struct<nil:int,doc_id:bigint,crc:bigint,size:bigint>"
 
@@ -35,7 +35,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 24, overhead: int = 8, rows_
     rows = stored(slim.groupBy("doc_id", "size", "crc").agg(F.count("*").alias("n")))
     key = F.struct(F.col("doc_id").isNotNull().cast("int").alias("nil"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("crc"), F.col("size"))
     n_rows, total = rows.agg(F.count("*"), F.sum(F.col("n") * F.col("size"))).first()
-    n_ranges = max(4 * n_shards, -(-n_rows // rows_per_range))
+    n_ranges = min(MAX_RANGES, max(4 * n_shards, -(-n_rows // rows_per_range)))
     bounds = splitters(rows, key, F.col("size") * F.col("n"), n_ranges)
     placed = rows.withColumn("range", range_of(key, bounds, KEY))
     # Overfull ranges get their own, denser splitters; the summary has a row for each range.
