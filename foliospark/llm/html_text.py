@@ -210,7 +210,7 @@ def main_texts(pages: DataFrame, limit: int = 32 << 20) -> DataFrame:
 
     slot = F.pmod(F.xxhash64("host"), F.lit(1 << 20))
     base = pages.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url", F.xxhash64("html").alias("th"), "html")
-    parsed = stored(in_arrow(base, parse, "uid long, page_id long, url string, host string, th long, blocks array<string>, inside array<boolean>"))
+    parsed = stored(in_arrow(base, parse, "uid long, page_id long, url string, host string, th long, blocks array<string>, inside array<boolean>"), "zstd")
     copies = stored(parsed.groupBy("host", "th").agg(F.min("uid").alias("first"), F.count("*").alias("n"), F.max(F.size("blocks")).alias("size")))
     needs = stored(copies.filter("size > 0").groupBy("host").agg(F.greatest(F.lit(2), F.ceil(F.sqrt(F.count("*")))).cast("int").alias("need")))
     again = stored(copies.filter("n > 1").select("host", "th", "first"))  # written, so that Spark knows the sizes and moves no texts for small ones
@@ -230,7 +230,8 @@ def summed(parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]):
     """A batch of COUNTS with a row for each different (kind, key, other)."""
     for kind, key, other, need in parts:
         pair, first, n = np.unique(np.stack([key, other]), axis=1, return_index=True, return_counts=True)
-        cols = [np.full(len(n), kind, np.int32), pair[0], pair[1], n.astype(np.int64), need[first].astype(np.int32)]
+        at = np.argsort(pair[1], kind="stable") if kind == 0 else np.arange(len(n))  # runs of one host take less room
+        cols = [np.full(len(n), kind, np.int32), pair[0][at], pair[1][at], n[at].astype(np.int64), need[first][at].astype(np.int32)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [c.split()[0] for c in COUNTS.split(", ")])
 
 
