@@ -333,7 +333,15 @@ def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.reading_rows(li, ["l_orderkey"]).groupBy("l_orderkey").agg((F.max("row_no") + 1).alias("rows"), F.max("cell_no").alias("last_cell"))
 
 
-@query()
+CLEANED = "trim(regexp_replace(" + FOLD + ", '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"""WITH c AS (SELECT item_id, list_filter(list_transform(string_split(text, ' ')[1:3], lambda w: {CLEANED.format('w')}), lambda p: p <> '') AS parts FROM benchmark),
+    d AS (SELECT doc_id, ' ' || t || ' ' AS t, replace(t, ' ', '') AS tight FROM (SELECT doc_id, {CLEANED.format('text')} AS t FROM documents)),
+    p AS (SELECT item_id, unnest(parts) AS p FROM c),
+    hit AS (SELECT item_id, doc_id, bool_and(contains(t, ' ' || p || ' ')) AS strict FROM p, d GROUP BY item_id, doc_id, t, tight HAVING bool_and(contains(tight, replace(p, ' ', ''))))
+    SELECT c.item_id AS "row", coalesce(bool_or(strict AND doc_id BETWEEN 0 AND 11), false) AS strict, coalesce(bool_or(doc_id BETWEEN 0 AND 11), false) AS loose,
+      CAST(count(DISTINCT doc_id) FILTER (strict) AS INT) AS n_strict, CAST(count(DISTINCT doc_id) AS INT) AS n_loose FROM c LEFT JOIN hit ON c.item_id = hit.item_id GROUP BY c.item_id""")
 def concept_findability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items as concepts, documents as paragraphs; listed pages are the first ten documents."""
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row"), joins.near_set(F.sequence(F.lit(1), F.lit(10))).alias("near"), F.array(text.conjunction(F.array_join(F.slice(F.split("text", " "), 1, 3), " + "))).alias("queries"))
