@@ -48,8 +48,10 @@ def remapped(b: Column, roi: Column) -> Column:
     return box(roi["x"] + b["x"] * roi["w"], roi["y"] + b["y"] * roi["h"], b["w"] * roi["w"], b["h"] * roi["h"])
 
 
-def is_body_text(text: Column, b: Column) -> Column:
-    return (b["w"] > 0.28) | (F.char_length(text) >= 22) | (b["y"] < 0.07) | (b["y"] + b["h"] > 0.93)
+def is_body_text(text: Column, b: Column, site: tuple[str, ...] = ()) -> Column:
+    """A wide, long or marginal line, or one that holds a text of ``site`` in either case."""
+    marked = F.exists(F.array(*[F.lit(s) for s in site]), lambda s: F.contains(F.lower(text), s)) if site else F.lit(False)
+    return marked | (b["w"] > 0.28) | (F.char_length(text) >= 22) | (b["y"] < 0.07) | (b["y"] + b["h"] > 0.93)
 
 
 def is_figure_size(b: Column) -> Column:

@@ -9,6 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Words that a concept's query can do without, in folded form.
+STOP_WORDS = ("va", "cua", "la", "cac", "nhung", "trong", "the", "cho", "mot", "co", "khi", "hay", "theo", "tac", "gia", "so")
+
+
 def _tables() -> tuple[str, str, str]:
     """(letters, their base letters, nonspacing marks), derived from the Unicode database."""
     src, dst, marks = [], [], []
@@ -126,6 +130,19 @@ def cell(c: Column) -> Column:
     return F.replace(c, F.lit("|"), F.lit("\\|"))
 
 
+def chapter_file(no: Column, slug: Column) -> Column:
+    return F.concat(no, F.lit("-"), slug, F.lit(".md"))
+
+
+def figure_file(no: Column, page: Column, k: Column) -> Column:
+    return F.format_string("%s/p%03d-%d.jpg", no, page, k)
+
+
+def chapter_name(label: Column, title: Column) -> Column:
+    """``label: title``, or the title of a chapter without label."""
+    return F.concat_ws(": ", label, title)
+
+
 def html_escape(c: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
         c = F.replace(c, F.lit(a), F.lit(b))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import coverage
-from ..functions.text import has_words, norm, strip
+from ..functions.text import STOP_WORDS, has_words, norm, strip
 from .joins import neighbours
 
 
@@ -79,5 +79,53 @@ def findability(concepts: DataFrame, paragraphs: DataFrame, block: int = 4_096)
     return got.withColumn("strict", F.arrays_overlap("strict_pages", "near")).withColumn("loose", F.arrays_overlap("loose_pages", "near"))
 
 
+def spots(queries: DataFrame, paragraphs: DataFrame, shown: int = 8) -> DataFrame:
+    """(row, page, parts) whose phrase must stand on exactly its page: ``strict`` by whole words, ``loose`` without spaces, and the first pages of the strict hits."""
+    asked = queries.withColumn("near", F.array("page")).withColumn("queries", F.array("parts"))
+    return findability(asked, paragraphs).withColumn("shown", F.slice("strict_pages", 1, shown)).drop("near", "queries")
+
+
+def words_near(concepts: DataFrame, paragraphs: DataFrame, stop: tuple[str, ...] = STOP_WORDS) -> DataFrame:
+    """Adds ``words_near``: one paragraph (pages, text) on a page of ``near`` holds all words, stop words aside, of the first query. Concepts meet paragraphs by page; a concept without such words has none."""
+    first = F.coalesce(F.get("queries", F.lit(0)), F.array().cast("array<string>"))
+    words = F.filter(F.split(F.array_join(first, " "), " "), lambda w: (w != "") & ~w.isin(list(stop)))
+    asked = concepts.select("row", words.alias("words"), F.explode("near").alias("page")).filter(F.size("words") > 0)
+    held = paragraphs.select(F.explode("pages").alias("page"), "text")
+    found = asked.join(held, "page").filter(has_words(F.col("text"), F.col("words"))).select("row").distinct()
+    return concepts.join(found.withColumn("words_near", F.lit(True)), "row", "left").withColumn("words_near", F.coalesce("words_near", F.lit(False)))
+
+
+def totals(pages: DataFrame, unsure: DataFrame, voted: DataFrame, low: DataFrame) -> DataFrame:
+    """One row: pages, their lines, unsure and voted words, low lines and their share of all lines (0 without lines)."""
+    marked = {"unsure": unsure, "voted": voted, "low": low}
+    every = pages.select(F.lit("pages").alias("kind"), F.col("lines").cast("long").alias("lines"))
+    for name, df in marked.items():
+        every = every.unionByName(df.select(F.lit(name).alias("kind"), F.lit(0).cast("long").alias("lines")))
+    counted = every.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"), *[F.count_if(F.col("kind") == n).alias(n) for n in ("pages", *marked)])
+    return counted.withColumn("low_share", F.col("low") / F.greatest(F.col("lines"), F.lit(1)))
+
+
+def problem_pages(*problems: DataFrame) -> DataFrame:
+    """(page, n): the places of all kinds (unsure, no syllable, low confidence) by page, most first, then by page."""
+    every = reduce(DataFrame.unionByName, [p.select("page") for p in problems])
+    return every.groupBy("page").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "page")
+
+
+def mismatches(pages: DataFrame) -> DataFrame:
+    """(page, printed, problem): pages whose printed number is another one, and those without."""
+    differs = F.when(F.col("printed").isNull(), "unread").when(F.col("printed") != F.col("page"), "differs")
+    return pages.select("page", "printed", differs.alias("problem")).filter("problem IS NOT NULL")
+
+
+def figure_pages(figures: DataFrame) -> DataFrame:
+    """One row: the pages with figures, each once, in order."""
+    return figures.agg(F.array_sort(F.collect_set("page")).alias("pages"))
+
+
+def box_totals(boxes: DataFrame) -> DataFrame:
+    """One row: pages that hold boxes, and boxes."""
+    return boxes.agg(F.count_distinct("page").alias("pages"), F.count("*").alias("boxes"))
+
+
 def rates(checked: DataFrame, by: list[str], flag: str) -> DataFrame:
     return checked.groupBy(*by).agg(F.count("*").alias("n"), F.count_if(F.col(flag)).alias("found"), F.avg(F.col(flag).cast("double")).alias("rate"))

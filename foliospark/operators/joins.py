@@ -42,14 +42,34 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], at: str, val
 
 
 def with_fixes(lines: DataFrame, fixes: DataFrame) -> DataFrame:
-    """OCR lines with region fixes applied: lines whose centre lies in a fix's ``replace`` box go, the fix's lines come. One fix a page is assumed (as shipped); more are an error."""
-    many = fixes.groupBy("page").count().filter("count > 1")
-    if not many.isEmpty():
-        raise ValueError("fixes apply one after the other; a page with several needs several rounds")
-    box = F.struct("x", "y", "w", "h")
-    hit = lines.join(small(fixes.select(F.col("page").alias("_p"), "replace")), (F.col("page") == F.col("_p")) & centre_in(box, F.col("replace")), "left_anti")
-    added = fixes.select("page", F.posexplode("lines").alias("pos", "l")).select("page", (F.col("pos") + 1_000_000).alias("line_no"), "l.*")
-    return hit.unionByName(added, allowMissingColumns=True)
+    """OCR lines with region fixes applied in the order of ``fix_no`` (without that column: all at once): lines whose centre lies in a fix's ``replace`` box go, the fix's lines come.
+
+    A line goes if any later fix covers it, so one anti join does all rounds.
+    """
+    f = fixes.withColumn("_step", F.col("fix_no") + 1 if "fix_no" in fixes.columns else F.lit(1))
+    added = f.select("page", "_step", F.posexplode("lines").alias("pos", "l")).select("page", (F.col("pos") + F.col("_step") * 1_000_000).alias("line_no"), "l.*", "_step")
+    both = lines.withColumn("_step", F.lit(0)).unionByName(added, allowMissingColumns=True)
+    later = small(f.select(F.col("page").alias("_p"), "replace", F.col("_step").alias("_later")))
+    covered = (F.col("page") == F.col("_p")) & (F.col("_later") > F.col("_step")) & centre_in(F.struct("x", "y", "w", "h"), F.col("replace"))
+    return both.join(later, covered, "left_anti").drop("_step")
+
+
+def headings(chapters: DataFrame) -> DataFrame:
+    """(no, page, heading): section titles by their page; of several on a page the last."""
+    s = chapters.select("no", F.posexplode("sections").alias("pos", "s"))
+    return s.groupBy("no", F.col("s.page").alias("page")).agg(F.max_by("s.title", "pos").alias("heading"))
+
+
+def overridden(concepts: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Concepts with the ``queries`` of their row in ``overrides``; a row that has none, or an empty list there, keeps its own."""
+    o = overrides.select("row", F.col("queries").alias("_q"))
+    return concepts.join(o, "row", "left").withColumn("override", F.coalesce(F.size("_q") > 0, F.lit(False))).withColumn("queries", F.when(F.col("override"), F.col("_q")).otherwise(F.col("queries"))).drop("_q")
+
+
+def figures_on(pages: DataFrame, figures: DataFrame, none: str = "none") -> DataFrame:
+    """Pages with ``files``: the names of their figures (page, file) in order, or ``none``."""
+    held = figures.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list("file")), ", ").alias("files"))
+    return pages.join(held, "page", "left").withColumn("files", F.coalesce("files", F.lit(none)))
 
 
 def upserted(auto: DataFrame, exclude: DataFrame, override: DataFrame, key: str, value: str) -> DataFrame:

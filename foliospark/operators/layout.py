@@ -9,13 +9,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import plain, ratio_of
-from ..functions.text import BULLET, TITLE_JUNK
+from ..functions.text import BULLET, TITLE_JUNK, norm
 
 
 def lower_quartile(df: DataFrame, by: list[str], value: str, out: str) -> DataFrame:
-    """The sorted value at index n // 4, without interpolation."""
-    v = F.array_sort(F.collect_list(value))
-    return df.groupBy(*by).agg(F.element_at(v, (F.floor(F.size(v) / 4) + 1).cast("int")).alias(out))
+    """The sorted value at index n // 4 of those that are not null, without interpolation. Values are counted before the shuffle, so a group is never held in one row."""
+    each = df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(value).alias("_n"))
+    w = Window.partitionBy(*by)
+    upto = each.withColumn("_upto", F.sum("_n").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_n").over(w))
+    return upto.groupBy(*by).agg(F.min(F.when(F.col("_upto") > F.floor(F.col("_all") / 4), F.col("_v"))).alias(out))
+
+
+def body_margin(pages: DataFrame, lines: DataFrame, short: float, default: float = 0.1) -> DataFrame:
+    """Pages with ``margin``: the lower quartile of x of the lines (page, x, w) wider than ``short``, else of all the page's lines, else the default."""
+    wide = lower_quartile(lines.filter(F.col("w") > short), ["page"], "x", "_wide")
+    every = lower_quartile(lines, ["page"], "x", "_every")
+    return pages.join(wide, "page", "left").join(every, "page", "left").withColumn("margin", F.coalesce("_wide", "_every", F.lit(default))).drop("_wide", "_every")
+
+
+def page_text(lines: DataFrame) -> DataFrame:
+    """(page, text): all lines of a page in their order, joined by spaces, in normal form."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda s: s["text"])
+    return lines.groupBy("page").agg(norm(F.array_join(parts, " ")).alias("text"))
+
+
+def region_text(seen: DataFrame, by: list[str]) -> DataFrame:
+    """(by, text, conf): a region's readings (x, text, conf) from left to right, with the least confidence, 0 if none."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("x", "text"))), lambda s: s["text"])
+    return seen.groupBy(*by).agg(F.array_join(parts, " ").alias("text"), F.coalesce(F.min("conf"), F.lit(0.0)).alias("conf"))
 
 
 def line_step(df: DataFrame, by: list[str], y: str, low: float, high: float, default: float, out: str = "step") -> DataFrame:

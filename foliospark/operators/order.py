@@ -54,6 +54,12 @@ def bands(ink: DataFrame, by: list[str], height: Column, least_ink: int = 3, gap
     return got.filter((F.col("end") - F.col("start") + 1 > least * F.col("_h")) | (F.col("end") == F.col("last"))).select(*by, "start", (F.col("end") - F.col("start") + 1).alias("rows"))
 
 
+def first_bands(found: DataFrame, by: list[str], height: Column, least: float = 0.01, n: int = 2) -> DataFrame:
+    """The first n bands (by, start, rows) of at least ``least`` of the height."""
+    tall = found.filter(F.col("rows") >= least * height)
+    return tall.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("start"))).filter(F.col("_r") <= n).drop("_r")
+
+
 def chunks(df: DataFrame, order: list[str], n: int, by: list[str] = []) -> DataFrame:  # noqa: B006
     """Adds ``chunk``: groups of n rows in order."""
     return df.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) / n).cast("int"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.joins import with_fixes
 from ..operators.order import carried
 
 LINE = "struct<text:string,conf:double,x:double,y:double,w:double,h:double>"
@@ -28,9 +29,29 @@ def ocr_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("text", strip(F.col("text"))).filter("text <> ''")
 
 
+def pass_lines(spark: SparkSession, path: str, fixes: DataFrame | None = None) -> DataFrame:
+    """``ocr_lines`` of a pass with its region fixes; footer passes and raw reads have no ``fixes``."""
+    lines = ocr_lines(spark, path)
+    if fixes is None:
+        return lines
+    return with_fixes(lines, fixes).withColumn("text", strip(F.col("text"))).filter("text <> ''")
+
+
+def only(df: DataFrame, key: str, wanted: list) -> DataFrame:
+    """Rows of the wanted keys; an empty list means all."""
+    return df.filter(F.col(key).isin(wanted)) if wanted else df
+
+
+def page_files(spark: SparkSession, folder: str, glob: str = "*.jpg") -> DataFrame:
+    """(page, file) of files named by a page, as in ``p012-1.jpg`` or ``p012.png``; contents are not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder).select("path")
+    named = found.select(F.regexp_extract("path", r"p(\d+)(?:-\d+)?\.[^./]*$", 1).alias("p"), F.element_at(F.split("path", "/"), -1).alias("file"))
+    return named.filter("p <> ''").select(F.col("p").cast("int").alias("page"), "file")
+
+
 def region_fixes(spark: SparkSession, path: str) -> DataFrame:
-    """(page, kind, cap, replace struct<x,y,w,h>, lines)."""
-    f = json_file(spark, path, REGION_FIX).select("page", F.explode("fixes").alias("f")).select("page", "f.*")
+    """(page, fix_no, kind, cap, replace struct<x,y,w,h>, lines)."""
+    f = json_file(spark, path, REGION_FIX).select("page", F.posexplode("fixes").alias("fix_no", "f")).select("page", "fix_no", "f.*")
     r = F.col("replace")
     return f.withColumn("replace", F.struct(*[r[i].alias(n) for i, n in enumerate("xywh")]))
 
@@ -63,9 +84,11 @@ MARKER = r"<!-- pdf:(\d+) \| sach:(\S+) -->"
 NO_PAGES = ("_", "00-muc-luc")
 
 
-def corpus_lines(spark: SparkSession, path: str, marker: str = MARKER, seed: bool = False, skip: tuple[str, ...] = NO_PAGES) -> DataFrame:
-    """(path, line_no, text, page, is_marker) of the files whose names don't begin with one of ``skip``; each line has the page of the last marker."""
+def corpus_lines(spark: SparkSession, path: str, marker: str = MARKER, seed: bool = False, skip: tuple[str, ...] = NO_PAGES, numbered: bool = False) -> DataFrame:
+    """(path, line_no, text, page, is_marker) of the files whose names don't begin with one of ``skip`` (``numbered``: that begin with two digits and a hyphen); each line has the page of the last marker."""
     lines = text_lines(spark, path)
+    if numbered:
+        lines = lines.filter(F.rlike("path", F.lit("^[0-9][0-9]-")))
     for start in skip:
         lines = lines.filter(~F.startswith("path", F.lit(start)))
     number = F.regexp_extract("text", marker, 1)

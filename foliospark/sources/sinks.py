@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import cell, html_escape
+from ..functions.text import cell, chapter_file, chapter_name, html_escape
 
 
 def chapter_texts(blocks: DataFrame) -> DataFrame:
@@ -22,6 +24,31 @@ def markdown_rows(df: DataFrame, *cols: str) -> Column:
     return F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(cell(F.col(c).cast("string")), F.lit("")) for c in cols]), F.lit(" |"))
 
 
+def contents(chapters: DataFrame, title: str, headings: tuple[str, str, str, str], sections: str, page: str = "p.") -> DataFrame:
+    """One text: a table of the chapters (no, slug, label, title, first, last, sections), then the sections of each labelled chapter that has some."""
+    file = chapter_file(F.col("no"), F.col("slug"))
+    row = F.concat(F.lit("| "), F.coalesce("label", F.lit("—")), F.lit(" | "), F.col("title"), F.lit(" | ["), file, F.lit("]("), file, F.format_string(") | %d–%d |", "first", "last"))
+    items = F.transform("sections", lambda s: F.format_string(f"- %s — {page} %d", s["title"], s["page"]))
+    own = F.concat(F.lit("**"), chapter_name(F.col("label"), F.col("title")), F.format_string(f"** ({page} %d)\n\n", "first"), F.array_join(items, "\n"), F.lit("\n"))
+    one = F.struct("first", "no", row.alias("row"), F.when(F.col("label").isNotNull() & (F.size("sections") > 0), own).alias("own"))
+    all_rows = F.array_sort(F.collect_list(one))  # one row for each chapter
+    table = F.array_join(F.transform(all_rows, lambda r: r["row"]), "\n")
+    rest = F.array_join(F.filter(F.transform(all_rows, lambda r: r["own"]), lambda t: t.isNotNull()), "\n")
+    return chapters.agg(F.concat(F.lit(f"# {title}\n\n| {' | '.join(headings)} |\n|---|---|---|---|\n"), table, F.lit(f"\n\n## {sections}\n\n"), rest).alias("text"))
+
+
+def assembled(title: str, sections: list[tuple[str, str, DataFrame]], none: str = "- (none)") -> DataFrame:
+    """One text: under the title a section for each (heading, table head, rows) with its rows (at, line) in the order of ``at``, or ``none``; a table head without rows stands alone. ``at`` is an array of doubles."""
+    spark = sections[0][2].sparkSession
+    heads = spark.createDataFrame([(i, h, t) for i, (h, t, _) in enumerate(sections)], "i int, heading string, head string")
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(i).alias("i"), F.col("at").cast("array<double>").alias("at"), "line") for i, (_, _, df) in enumerate(sections)])
+    body = rows.groupBy("i").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda r: r["line"]), "\n").alias("body"))
+    empty = F.when(F.col("head") == "", F.lit(none))
+    text = F.concat(F.lit("## "), "heading", F.lit("\n\n"), F.concat_ws("\n", F.when(F.col("head") != "", F.col("head")), F.coalesce("body", empty)))
+    made = heads.join(body, "i", "left").select("i", text.alias("t"))
+    return made.agg(F.concat(F.lit(f"# {title}\n\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "t"))), lambda r: r["t"]), "\n\n"), F.lit("\n")).alias("text"))
+
+
 def replaced_section(report: Column, title: str, section: Column) -> Column:
     """The report with one ``## title`` section replaced, or put before the first other section, or at the end."""
     own = rf"(?s)## {title}\n.*?(?=\n## |\z)"
