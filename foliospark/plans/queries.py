@@ -359,3 +359,97 @@ def syllable_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     beyond = F.filter(text.letter_words(F.col("text")), lambda w: w.rlike(r"[^\x00-\x7F]"))
     size = lambda a: F.coalesce(F.array_size(a), F.lit(0)).cast("long")
     return table(spark, sf_dir, "documents").select("doc_id", size(beyond).alias("n_words"), size(syllables.suspicious_words(F.col("text"))).alias("n_suspicious"))
+
+
+@query(f"""WITH c AS (SELECT item_id, list_filter(list_transform(string_split(text, ' ')[1:2], lambda w: {CLEANED.format('w')}), lambda p: p <> '' AND p NOT IN {text.STOP_WORDS}) AS parts FROM benchmark),
+    p AS (SELECT item_id, unnest(parts) AS p FROM c), d AS (SELECT doc_id, ' ' || {CLEANED.format('text')} || ' ' AS t FROM documents),
+    hit AS (SELECT item_id FROM p JOIN d ON doc_id BETWEEN 10 * (item_id % 20) AND 10 * (item_id % 20) + 9 GROUP BY item_id, doc_id HAVING bool_and(contains(t, ' ' || p || ' ')))
+    SELECT item_id AS "row", item_id IN (SELECT item_id FROM hit) AS words_near FROM c""")
+def near_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items whose first two words, stop words aside, stand in one of the ten documents listed for them."""
+    first = F.col("item_id") % 20 * 10
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row"), F.sequence(first, first + 9).alias("near"), F.array(text.conjunction(F.array_join(F.slice(F.split("text", " "), 1, 2), " + "))).alias("queries"))
+    d = table(spark, sf_dir, "documents").select(F.array("doc_id").alias("pages"), text.clean(F.col("text")).alias("text"))
+    return audits.words_near(b, d).select("row", "words_near")
+
+
+@query("""WITH auto AS (SELECT p_partkey % 500 AS page, list_sort(list(p_size)) AS sizes FROM part GROUP BY ALL), excluded AS (SELECT n_nationkey * 7 AS page FROM nation),
+    o AS (SELECT r_regionkey * 21 AS page, [r_regionkey, r_regionkey + 1] AS sizes FROM region),
+    u AS (SELECT * FROM auto WHERE page NOT IN (SELECT page FROM excluded UNION ALL SELECT page FROM o) UNION ALL SELECT * FROM o),
+    f AS (SELECT page, unnest(sizes) AS size, generate_subscripts(sizes, 1) AS k FROM u)
+    SELECT CAST(page AS INT) AS page, CAST(k AS INT) AS k, CAST(size AS DOUBLE) AS size, printf('%02d', page // 100) AS no, 'part ' || page // 100 AS chapter,
+      CASE WHEN page % 100 >= 60 THEN 'b' WHEN page % 100 >= 30 THEN 'a' ELSE 'part ' || page // 100 END AS section, printf('%02d/p%03d-%d.jpg', page // 100, page, k) AS file FROM f""")
+def figure_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes by page after exclusions and overrides, named by chapter, page and number."""
+    one = lambda c: F.array(c.cast("double"))
+    auto = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 500).cast("int").alias("page")).agg(F.transform(F.array_sort(F.collect_list("p_size")), one).alias("boxes"))
+    excluded = table(spark, sf_dir, "nation").select((F.col("n_nationkey") * 7).alias("page"))
+    key = F.col("r_regionkey")
+    override = table(spark, sf_dir, "region").select((key * 21).alias("page"), F.array(one(key), one(key + 1)).alias("boxes"))
+    start = (F.col("id") * 100).cast("int")
+    name, at = F.concat(F.lit("part "), F.col("id").cast("string")), lambda t, p: F.struct(F.lit(t).alias("title"), p.alias("page"))
+    parts = spark.range(5).select(F.format_string("%02d", "id").alias("no"), F.lit(None).cast("string").alias("label"), name.alias("title"), start.alias("first"), (start + 99).alias("last"), F.array(at("a", start + 30), at("b", start + 60)).alias("sections"))
+    return regions.figure_table(auto, excluded, override, parts).select("page", "k", F.col("box")[0].alias("size"), "no", "chapter", "section", "file")
+
+
+PRINTED = "SELECT doc_id AS page, length(text) - length(replace(text, chr(10), '')) + 1 AS lines, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN doc_id + 1 ELSE doc_id END AS printed FROM documents"
+
+
+def printed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(k.alias("page"), (F.regexp_count("text", F.lit("\n")) + 1).alias("lines"), F.when(k % 11 != 0, F.when(k % 13 == 0, k + 1).otherwise(k)).alias("printed"))
+
+
+@query(f"""WITH p AS ({PRINTED}), l AS (SELECT * FROM lineitem) SELECT CAST(sum(lines) AS BIGINT) AS lines, count(*) AS pages, (SELECT count(*) FROM l WHERE l_quantity < 5) AS unsure, (SELECT count(*) FROM l WHERE l_quantity > 49) AS voted,
+    (SELECT count(*) FROM l WHERE l_discount > 0.0925) AS low, (SELECT count(*) FROM l WHERE l_discount > 0.0925) / CAST(sum(lines) AS DOUBLE) AS low_share FROM p""")
+def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report's counts and the share of low lines."""
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount")
+    return audits.totals(printed_pages(spark, sf_dir), li.filter("l_quantity < 5"), li.filter("l_quantity > 49"), li.filter("l_discount > 0.0925"))
+
+
+@query(f"SELECT page, printed, CASE WHEN printed IS NULL THEN 'unread' ELSE 'differs' END AS problem FROM ({PRINTED}) WHERE printed IS DISTINCT FROM page")
+def number_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose printed number differs or was not read."""
+    return audits.mismatches(printed_pages(spark, sf_dir))
+
+
+@query("""SELECT page, count(*) AS n FROM (SELECT l_suppkey AS page FROM lineitem WHERE l_quantity < 5 UNION ALL SELECT l_suppkey FROM lineitem WHERE l_quantity > 49 UNION ALL SELECT l_suppkey FROM lineitem WHERE l_discount > 0.0925) GROUP BY page ORDER BY n DESC, page""")
+def problem_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problems of three kinds by page, most first."""
+    li = table(spark, sf_dir, "lineitem").withColumn("page", F.col("l_suppkey"))
+    return audits.problem_pages(*[li.filter(f) for f in ("l_quantity < 5", "l_quantity > 49", "l_discount > 0.0925")])
+
+
+@query("""SELECT l_orderkey, string_agg('w' || l_partkey, ' ' ORDER BY l_extendedprice, 'w' || l_partkey) AS text, min(l_discount) AS conf FROM lineitem GROUP BY l_orderkey""")
+def region_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of a region from left to right, with the least confidence."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_extendedprice").alias("x"), F.concat(F.lit("w"), F.col("l_partkey").cast("string")).alias("text"), F.col("l_discount").alias("conf"))
+    return layout.region_text(li, ["l_orderkey"])
+
+
+@query(f"SELECT conv_id AS page, regexp_replace({FOLD.format('t')}, '[^a-z0-9]+', '', 'g') AS text FROM (SELECT conv_id, string_agg(text, ' ' ORDER BY turn, text) AS t FROM conversations GROUP BY conv_id)")
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of a page as one normal text."""
+    return layout.page_text(table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page"), F.col("turn").alias("line_no"), "text"))
+
+
+@query("""WITH f AS (SELECT n_nationkey % 10 AS page, n_nationkey // 10 + 1 AS step, n_regionkey / 8.0 AS x, n_name AS text FROM nation),
+    l AS (SELECT p_partkey % 40 AS page, 0 AS step, p_size / 64.0 AS x, p_name AS text FROM part UNION ALL SELECT page, step, x, text FROM f)
+    SELECT CAST(page AS INT) AS page, text FROM l WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.page = l.page AND f.step > l.step AND l.x + 0.0625 BETWEEN f.x AND f.x + 0.25)""")
+def sequential_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three fixes a page, later ones also over the lines of earlier ones."""
+    fix, zero, size = F.col("n_nationkey"), F.lit(0.0), F.lit(0.125)
+    x = F.col("n_regionkey") / 8.0
+    f = table(spark, sf_dir, "nation").select((fix % 10).cast("int").alias("page"), F.floor(fix / 10).cast("int").alias("fix_no"), boxes.box(x, zero, F.lit(0.25), F.lit(1.0)).alias("replace"), F.array(F.struct(F.col("n_name").alias("text"), x.alias("x"), zero.alias("y"), size.alias("w"), size.alias("h"))).alias("lines"))
+    li = table(spark, sf_dir, "part").select((F.col("p_partkey") % 40).cast("int").alias("page"), F.col("p_partkey").cast("int").alias("line_no"), F.col("p_name").alias("text"), (F.col("p_size") / 64.0).alias("x"), zero.alias("y"), size.alias("w"), size.alias("h"))
+    return joins.with_fixes(li, f).select("page", "text")
+
+
+@query("""WITH q AS (SELECT l_suppkey AS page, list_sort(list(l_extendedprice)) AS every, list_sort(list(l_extendedprice) FILTER (l_quantity > 49)) AS wide FROM lineitem GROUP BY ALL)
+    SELECT s_suppkey AS page, coalesce(wide[len(wide) // 4 + 1], every[len(every) // 4 + 1], 0.125) AS margin FROM (SELECT s_suppkey FROM supplier UNION ALL SELECT -1) LEFT JOIN q ON page = s_suppkey""")
+def page_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 with its fallbacks: the quartile of wide lines, else of all lines, else a default."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_extendedprice").alias("x"), F.col("l_quantity").alias("w"))
+    pages = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("page")).unionByName(spark.range(-1, 0).select(F.col("id").alias("page")))
+    return layout.body_margin(pages, li, 49.0, 0.125)
