@@ -250,7 +250,13 @@ def ink_dilated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regions.dilated(regions.grid(pixels(spark, sf_dir), 8, 12), 2, 1)
 
 
-@query()
+@query(f"""WITH RECURSIVE c AS (SELECT * FROM ({CELLS}) WHERE ink >= 16), g AS (SELECT DISTINCT page, cx + dx AS cx, cy AS cy FROM c, range(-1, 2) a(dx) WHERE cx + dx >= 0),
+    near AS (SELECT a.page, a.cx, a.cy, b.cx AS bx, b.cy AS by FROM g a JOIN g b ON a.page = b.page AND abs(a.cx - b.cx) + abs(a.cy - b.cy) = 1),
+    reach AS (SELECT page, cx, cy, cx AS rx, cy AS ry FROM g UNION SELECT r.page, r.cx, r.cy, n.bx, n.by FROM reach r JOIN near n ON r.page = n.page AND r.rx = n.cx AND r.ry = n.cy),
+    root AS (SELECT page, cx, cy, min(ry * 10000 + rx) AS root FROM reach GROUP BY ALL),
+    t AS (SELECT page, dense_rank() OVER (PARTITION BY page ORDER BY root) - 1 AS comp, cx, cy, ink FROM c JOIN root USING (page, cx, cy))
+    SELECT page, CAST(comp AS INT) AS comp, CAST(min(cx) AS INT) AS x0, CAST(min(cy) AS INT) AS y0, CAST(max(cx) AS INT) AS x1, CAST(max(cy) AS INT) AS y1, CAST(sum(ink) AS BIGINT) AS ink, count(*) AS cells,
+      count(*) / CAST((max(cx) - min(cx) + 1) * (max(cy) - min(cy) + 1) AS DOUBLE) AS fill FROM t GROUP BY page, comp""")
 def ink_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the dilated grid with bounds."""
     cells = regions.grid(pixels(spark, sf_dir), 8, 16)
@@ -322,7 +328,13 @@ def aligned_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("page", "other", "got.*", "likeness")
 
 
-@query()
+@query("""WITH RECURSIVE l AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS n, l_partkey % 97 / 97 AS x, l_quantity / 60 AS y, l_linenumber / 400 AS h FROM lineitem),
+    o AS (SELECT k, y + h / 2 AS c, h, row_number() OVER (PARTITION BY k ORDER BY y + h / 2, x, h, n) AS i FROM l),
+    r AS (SELECT k, i, c, h, 0 AS row_no FROM o WHERE i = 1 UNION ALL
+      SELECT o.k, o.i, CASE WHEN s THEN r.c ELSE o.c END, CASE WHEN s THEN r.h ELSE o.h END, CASE WHEN s THEN row_no ELSE row_no + 1 END
+      FROM r JOIN o ON r.k = o.k AND o.i = r.i + 1, LATERAL (SELECT abs(o.c - r.c) <= 0.5 * greatest(r.h, o.h) AS s) t),
+    n AS (SELECT k, row_no, count(*) - 1 AS last_cell FROM r GROUP BY ALL)
+    SELECT k AS l_orderkey, max(row_no) + 1 AS rows, CAST(max(last_cell) AS INT) AS last_cell FROM n GROUP BY k""")
 def reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of lines by vertical centre."""
     from pyspark.sql import Window
