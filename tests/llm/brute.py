@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import struct
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
@@ -92,3 +96,35 @@ def jaccard(rows):
         ids[find(i)].append(d)
     least = {k: min([x for x in v if x is not None], default=None) for k, v in ids.items()}
     return [(d, len(s), least[find(i)]) for i, ((d, _), s) in enumerate(zip(rows, sets))]
+
+
+def chained(hashes, start=42):
+    """A row of 64-bit hashes as one: each one's bytes hashed with the hash before as seed."""
+    for h in hashes:
+        start = xxhash.xxh64_intdigest(struct.pack("<q", h), seed=start % (1 << 64))
+    return start - (1 << 64) if start >> 63 else start
+
+
+def sketch(t, k=5, fraction=4):
+    """All hashes of k-word shingles in the lowest part of the range, or the lowest of all."""
+    own = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in words(t)]
+    own = [h - (1 << 64) if h >> 63 else h for h in own]
+    full = {chained(own[i : i + k]) for i in range(len(own) - k + 1)} if len(own) >= k else {chained(own)} if own else set()
+    return sorted(h for h in full if h < -(1 << 63) + (1 << 64) // fraction) or sorted(full)[:1]
+
+
+def contained(a, b):
+    if not a or not b:
+        return 1.0 if not a and not b else 0.0
+    return len(set(a) & set(b)) / min(len(a), len(b))
+
+
+def rates(sizes, target, cap=3):
+    """Expected copies by size: the bounded tilt whose total meets the target, by bisection."""
+    mean = max(1.0, sum(s * n for s, n in sizes.items()) / max(1, sum(sizes.values())))
+    rate = lambda s, lam: cap / (1 + (cap - 1) * math.exp(max(-700.0, min(700.0, -lam * s / mean)))) if s else 0.0
+    low, high = -4096.0, 4096.0
+    for _ in range(200):
+        lam = (low + high) / 2
+        low, high = (lam, high) if sum(rate(s, lam) * s * n for s, n in sizes.items()) < target else (low, lam)
+    return {s: rate(s, low) for s in sizes}

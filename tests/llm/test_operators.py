@@ -10,6 +10,7 @@ from fractions import Fraction
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foliospark.llm import bpe, fingerprints, graph, html_text, jaccard_join, mixing, quality, secrets, sharding, substring_dedup
@@ -129,6 +130,28 @@ def test_fingerprints(docs, rows):
     assert sum(long_) / len(long_) > 0.5
 
 
+def test_sketches_and_likeness(spark, docs, rows):
+    by = {d: t or "" for d, t in pairs(rows) if d is not None and sum(e == d for e, _ in pairs(rows)) == 1}
+    seen = 0
+    for r in fingerprints.edited_fingerprints(docs, rows_per_range=10, least_ranges=8).collect():
+        assert r["near_edited"] == pytest.approx(brute.contained(r["sketch"], r["edited_sketch"]))
+        if r["doc_id"] in by:
+            assert r["sketch"] == brute.sketch(by[r["doc_id"]])
+            after = max((d for d in by if d < r["doc_id"]), default=None)
+            if after is not None and all(not after < d < r["doc_id"] for d, _ in pairs(rows) if d is not None):
+                assert r["near_next"] == pytest.approx(brute.contained(r["sketch"], brute.sketch(by[after])))
+                seen += 1
+    assert seen > 20
+
+
+def test_sketches_merge(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(a, b), (a, ""), ("x y", "")], "a string, b string")
+    both = fingerprints.with_sketch(fingerprints.with_sketch(df, "a", "sa"), "b", "sb").select(fingerprints.merge(F.col("sa"), F.col("sb")).alias("m"))
+    want = [sorted({*brute.sketch(a), *brute.sketch(b)}), brute.sketch(a), brute.sketch("x y")]
+    assert [r["m"] for r in both.collect()] == want
+
+
 def test_secrets(docs, rows):
     want = Counter((d, tuple(brute.secrets(t))) for d, t in pairs(rows))
     out = secrets.scan(docs).collect()
@@ -285,6 +308,16 @@ def test_mixing(docs, rows):
         assert target[s] == pytest.approx(want[s])
         assert abs(took[s] - target[s]) <= 40
     assert got(mixing.balance(docs), "doc_id", "size", "copies") == got(out, "doc_id", "size", "copies")
+    # Copies of each size against plain rates: within one of them, but for the few that the last sweep adds or takes back.
+    sizes, copies = defaultdict(Counter), defaultdict(Counter)
+    for r in out.collect():
+        sizes[r["source"]][r["size"]] += 1
+        copies[r["source"]][r["size"]] += r["copies"]
+    for s in names:
+        if target[s] < 3 * total[s]:
+            rate = brute.rates(sizes[s], target[s])
+            off = [abs(copies[s][z] - rate[z] * n) for z, n in sizes[s].items()]
+            assert sum(max(0.0, o - 1) for o in off) <= 6
 
 
 def page(body: str) -> str:
