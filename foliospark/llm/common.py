@@ -6,92 +6,27 @@ same rule on UTF-8, so the Python stages split encoded text.
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import math
-import tempfile
-import uuid
-from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import ARROW_ROWS, discard, in_arrow, session_of, setting, shared_dir, small_batches, stored, trimmed  # noqa: F401
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
-ARROW_ROWS = 1_024
 BROADCAST_BYTES = 8 << 20
 MAX_RANGES = 1 << 16
 MAX_SAMPLE = 1 << 18
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="folio-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
-
-    Once it is written, Spark removes the shuffle files of the write; ``discard`` removes the table itself.
-    """
-    spark = session_of(df)
-    path = f"{shared_dir(spark)}/folio/{uuid.uuid4().hex}"
-    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        df.write.option("compression", codec).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.folio_path = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Remove tables of ``stored`` that no later result reads (each was followed by another stored table)."""
-    for df in tables:
-        jvm = session_of(df).sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.folio_path)
-        path.getFileSystem(session_of(df).sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    """A session setting for the length of a block."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def small(table: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
     """A stored table, marked for broadcast if its rows, of ``row_bytes`` each, take ``limit`` bytes at most; else Spark picks the join."""
     held = table.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).first()[0] or 0
     return F.broadcast(table) if held <= limit else table
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df``; its session sends Python at most ARROW_ROWS rows at once, where it has Spark's own default, so that whole texts need little memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if session_of(df).conf.get(key) == "10000":
-        session_of(df).conf.set(key, str(ARROW_ROWS))
-    return df
-
-
-def in_arrow(df: DataFrame, f, schema: str) -> DataFrame:
-    """``df.mapInArrow`` in small batches; freed memory goes back to the system when a task ends."""
-    return small_batches(df).mapInArrow(trimmed(f), schema)
-
-
 def packed_rows(df: DataFrame, **keys: Column) -> DataFrame:
     """All columns of df in one struct ``row`` beside ``keys``, so that no input name can clash; ``row.*`` unpacks."""
     return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"), *[v.alias(k) for k, v in keys.items()])
@@ -153,20 +88,6 @@ def _json(values: list) -> str:
     return json.dumps([v.asDict() if hasattr(v, "asDict") else v for v in values])
 
 
-def trimmed(f):
-    """``f`` for mapInArrow; freed memory goes back to the system when a task ends."""
-
-    def run(batches):
-        yield from f(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
-
-    return run
-
-
 def packed(f, size: int = 100_000):
     """Joins the small batches of f to larger ones."""
 

@@ -97,21 +97,3 @@ def containing(queries: DataFrame, paragraphs: DataFrame, parts: str, text: str)
     p = paragraphs.withColumn("_w", F.explode(F.array_distinct(F.filter(F.split(text, " "), lambda w: w != ""))))
     p = p.join(small(q.select("_w").distinct()), "_w", "left_semi")
     return q.join(p, "_w").filter(has_words(F.col(text), F.col(parts))).drop("_w")
-
-
-def first_copies(texts: DataFrame, key: str, words: str, width: int = 5) -> DataFrame:
-    """(key, first): the lowest other key that shares with it at least half of the windows of ``width`` words, counted by the text that has more of them.
-
-    Star pairs instead of all pairs: a text is compared with the first holders of its windows, so a text of which
-    every window stands in earlier texts isn't a first of later ones. Texts without words are left out.
-    """
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - width + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(words, i, width), " ")))
-    own = texts.filter(F.size(words) > 0).select(F.col(key).alias("k"), F.array_distinct(grams).alias("g")).withColumn("n", F.size("g")).persist()
-    each = own.select("k", "n", F.explode("g").alias("w"))
-    least = each.groupBy("w").agg(F.min(F.struct("k", "n")).alias("f"), F.count("*").alias("held")).filter("held > 1").select("w", F.col("f.k").alias("first"), F.col("f.n").alias("m"))
-    # Sizes bound the share, so only texts of like size are compared gram by gram.
-    pair = each.join(least, "w").filter("first < k AND 2 * n >= m AND 2 * m >= n").select("k", "n", "first", "m").distinct()
-    a = pair.join(own.select("k", F.col("g").alias("a")), "k")
-    both = a.join(own.select(F.col("k").alias("first"), F.col("g").alias("b")), "first")
-    same = both.filter(2 * F.size(F.array_intersect("a", "b")) >= F.greatest("n", "m"))
-    return same.groupBy("k").agg(F.min("first").alias("first")).select(F.col("k").alias(key), "first")

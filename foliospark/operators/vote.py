@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+
+from ..functions.similarity import blocks, plain, ratio, tokens
+from ..sources.shared import in_arrow
 
 
 def mode_near(df: DataFrame, by: list[str], value: str, near: str, out: str) -> DataFrame:
@@ -36,21 +38,35 @@ def readings(x: list, y: list) -> list:
     """For every word of ``x`` its word of ``y`` in equal runs and in replacements of equal length, else None."""
     if x == y:
         return list(y)
+    code: dict = {}
+    a, b = (np.array([code.setdefault(w, len(code)) for w in words], np.int64) for words in (x, y))
     found: list = [None] * len(x)
-    for op, i1, i2, j1, j2 in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
-        if op == "equal" or op == "replace" and i2 - i1 == j2 - j1:
-            found[i1:i2] = y[j1:j2]
+    i = j = 0
+    for at, to, n in [*blocks(a, b), (len(x), len(y), 0)]:
+        if at - i == to - j:
+            found[i:at] = y[j:to]
+        i, j = at + n, to + n
+        found[at:i] = y[to:j]
     return found
 
 
-@F.pandas_udf(StructType([StructField(c, LongType()) for c in ("words", "aligned", "changed")]))
-def alignment(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    """Counts of the words of ``a``, those that ``b`` has a word for, and those whose word differs."""
-    rows = []
-    for x, y in zip(a, b):
-        got = readings(list(x), list(y))
-        rows.append((len(got), sum(w is not None for w in got), sum(w is not None and w != v for v, w in zip(x, got))))
-    return pd.DataFrame(rows, columns=["words", "aligned", "changed"], dtype="int64")
+def alignments(df: DataFrame) -> DataFrame:
+    """All columns but the last two, texts ``a`` and ``b``; then counts of the words of ``a``, those that ``b`` has a word for and those whose word differs, and the ``likeness`` of both texts (``similar``)."""
+    names = ["words", "aligned", "changed", "likeness"]
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for a, b in zip(batch.column("a"), batch.column("b")):
+                a, b = a.as_py(), b.as_py()
+                x = tokens(a)
+                got = readings(x, tokens(b))
+                rows.append((len(x), sum(w is not None for w in got), sum(w is not None and w != v for v, w in zip(x, got)), ratio(plain(a), plain(b))))
+            counts = [pa.array([r[c] for r in rows], pa.int64() if c < 3 else pa.float64()) for c in range(4)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *counts], names=[*batch.schema.names[:-2], *names])
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema[:-2])
+    return in_arrow(df, run, f"{kept}, words long, aligned long, changed long, likeness double")
 
 
 def aligned(primary: DataFrame, other: DataFrame, by: list[str], out: str) -> DataFrame:

@@ -229,6 +229,76 @@ def test_aligned_copies_of_a_whole_group(spark, tmp_path):
     assert {r["other"]: (r["page"], r["words"], r["aligned"], r["changed"], r["likeness"]) for r in queries.aligned_copies(spark, str(tmp_path)).collect()} == want
 
 
+def test_copies_of_a_text_made_of_earlier_ones(spark, tmp_path):
+    from foliospark.plans import queries
+
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    docs = [(1, a), (2, b), (5, a + b), (9, a + ["z"] + b)]  # all windows that 5 and 9 share stand in 1 or 2 first, of which 9 isn't a copy
+    spark.createDataFrame([(k, " ".join(w)) for k, w in docs], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [(r["page"], r["other"], r["words"], r["aligned"]) for r in queries.aligned_copies(spark, str(tmp_path)).collect()] == [(5, 9, 120, 120)]
+
+
+def test_first_copies_against_all_pairs(spark, monkeypatch):
+    import random
+
+    from foliospark.operators import copies
+
+    monkeypatch.setattr(copies, "HELD_GRAMS", 300)
+    r = random.Random(3)
+    runs = [[f"w{r.randrange(10**6)}" for _ in range(r.choice([8, 15, 30]))] for _ in range(12)]
+    docs = []
+    for k in r.sample(range(-500, 10**12, 10**7), 300):
+        words = [w for run in r.choices(runs, [1 / (i + 1) for i in range(12)], k=r.choice([0, 1, 2, 3, 5])) for w in run]
+        docs.append((k, ([f"own{k}x{i}" for i in range(r.choice([0, 0, 4, 20]))] + words)[: r.choice([3, 200])]))
+    grams = {k: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for k, w in docs if w}
+    want = {k: min((j for j in grams if j < k and 2 * len(grams[j] & grams[k]) >= max(len(grams[j]), len(grams[k]))), default=None) for k in grams}
+    got = copies.first_copies(spark.createDataFrame([(k, " ".join(w)) for k, w in docs], "doc_id long, text string"), "doc_id", "text", 0)
+    assert {x["doc_id"]: x["first"] for x in got.collect()} == {k: j for k, j in want.items() if j is not None}
+
+
+def test_windows_move_in_packed_arrays():
+    import pyarrow as pa
+
+    from foliospark.operators import copies
+
+    texts = pa.RecordBatch.from_pydict({"k": list(range(100)), "t": [" ".join(f"d{k}w{i}" for i in range(504)) for k in range(100)]})
+    sent = [b for out in copies.spread(5, 16)([texts]) for c in out.columns[1:] for b in c.to_pylist()]
+    assert sum(len(b.replace(b"\0", b"")) for b in sent) < 9 * 100 * 500  # of each window its hash; what else goes along is zeros
+    rows = [r for out in copies.spread(5, 16)([texts]) for r in out.to_pylist()]
+    batch = pa.RecordBatch.from_pylist([r for r in rows if r["at"] < 16])
+    assert list(copies.repeated(16)([batch])) == []  # none is held by two texts, so none goes back
+
+
+def test_blocks_are_those_of_difflib(monkeypatch):
+    import random
+    from difflib import SequenceMatcher
+
+    import numpy as np
+
+    from foliospark.functions import similarity
+
+    monkeypatch.setattr(similarity, "AT_ONCE", 100)
+    r = random.Random(4)
+    for _ in range(400):
+        letters = "abcdefghijklmnopqrstuvwxyz0123456789"[: r.choice([1, 2, 6, 36])]
+        x = r.choices(letters, [r.random() ** 3 + 0.001 for _ in letters], k=r.choice([0, 1, 50, 199, 200, 500]))
+        y = list(x)
+        for _ in range(r.choice([0, 1, 5, 30])):
+            at = r.randrange(len(y) + 1)
+            y[at : at + r.randrange(9)] = r.choices(letters, k=r.randrange(9))
+        for autojunk in (False, True):
+            got = similarity.blocks(*(np.array([ord(c) for c in s], np.int64) for s in (x, y)), autojunk)
+            joined = [(0, 0, 0)]
+            for i, j, n in got:
+                p, q, m = joined[-1]
+                joined[-1:] = [(p, q, m + n)] if (p + m, q + m) == (i, j) and m else [(p, q, m), (i, j, n)]
+            assert joined[1:] == [tuple(b) for b in SequenceMatcher(None, x, y, autojunk).get_matching_blocks()[:-1]]
+        assert similarity.ratio("".join(x), "".join(y)) == SequenceMatcher(None, "".join(x), "".join(y)).ratio()
+    for s in ("É Đà, Ünïcode ſ K\u0301x\x1cy\u2003z \u4e2d\u6587a", "plain ASCII 12"):
+        assert similarity.unaccented(s) == s.lower().translate(similarity._FOLD)
+    assert similarity.tokens("\u2003a\x1cb  c\u3000d\n") == ["a\x1cb", "c", "d"]
+
+
 ROWS = "page int, row_no int, kind string, cells array<string>, x double, y double, h double, margin double, step double, title string"
 
 
