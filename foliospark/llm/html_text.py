@@ -16,6 +16,7 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -27,6 +28,10 @@ DEPTH = 6
 GAP = 8
 #: Repeats that only two pages hold are copied text, not boilerplate, from so many tokens in a page.
 COPIED = 50
+#: Bytes of text that are hashed at once.
+PIECE = 4 << 20
+#: Tokens whose heads are hashed at once, in the processor's cache.
+STEP = 1 << 15
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
 ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 # Element names and the words in class, id and role that mark what isn't the article.
@@ -111,39 +116,123 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def stream(texts: list[str]) -> list[str]:
-    """Tokens of the blocks; blocks are parted by a mark of their own."""
-    return [t for x in texts for t in (*x.split(" "), "\n")]
+def pieces(batch: pa.RecordBatch, column: str = "blocks"):
+    """Runs of rows with at most PIECE bytes of text, or one row: numpy's arrays over a run take several times its text."""
+    blocks = batch.column(column)
+    held = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(blocks.flatten()), 0).to_numpy())])
+    ends, at = held[bounds_of(pc.list_value_length(blocks).to_numpy())[1:]], 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, "right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
-def suffix_heads(host: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the host and the DEPTH-token heads of a stream's suffixes, and the places of the sparse ones."""
-    tokens = stream(texts)
-    h = gram_hashes(word_hashes([t.encode("utf-8", "surrogatepass") for t in tokens]), DEPTH)
-    h = mixed(h ^ np.uint64(xxh3_64_intdigest(host)))
-    if len(h) <= GAP:
-        return h.view(np.int64), np.arange(len(h))
-    least = np.arange(len(h) - GAP + 1) + np.lib.stride_tricks.sliding_window_view(h, GAP).argmin(axis=1)
-    ends = np.cumsum([t.count(" ") + 2 for t in texts])
-    edges = np.concatenate([[0], ends, ends - DEPTH])
-    return h.view(np.int64), np.unique(np.concatenate([least, edges[(edges >= 0) & (edges < len(h))]]))
+def bounds_of(lengths: np.ndarray) -> np.ndarray:
+    """First places of runs laid end to end, and the end of the last."""
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
 
 
-def among(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which keys are there, and their places."""
-    if not len(sorted_keys):
-        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return sorted_keys[at] == keys, at
+def without_tails(bounds: np.ndarray, n: int) -> np.ndarray:
+    """Marks for all places of the runs but the last n of each."""
+    keep = np.ones(bounds[-1], bool)
+    for d in range(1, n + 1):
+        at = bounds[1:] - d
+        keep[at[at >= bounds[:-1]]] = False
+    return keep
 
 
-def around(hit: np.ndarray) -> np.ndarray:
-    """Places less than GAP from a hit."""
-    edge = np.zeros(len(hit) + 1, np.int64)
-    at = np.flatnonzero(hit)
-    np.add.at(edge, np.maximum(at - GAP + 1, 0), 1)
-    np.add.at(edge, np.minimum(at + GAP, len(hit)), -1)
-    return np.cumsum(edge)[:-1] > 0
+def suffix_heads(hosts: list[str], blocks: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the host and the DEPTH-token heads of the suffixes of all pages, page after page.
+
+    Beside them the first place of each page (and the end), and the sorted places where a block begins or, with the
+    mark that parts it from the next, ends. A page's n-th head begins at its n-th token. Each different word is hashed
+    once.
+    """
+    words = pc.split_pattern(blocks.flatten(), " ")
+    coded = words.flatten().dictionary_encode()
+    own = word_hashes(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+    block = bounds_of(pc.list_value_length(words).to_numpy() + 1)
+    page = bounds_of(pc.list_value_length(blocks).to_numpy())
+    tokens = block[page]
+    stream = np.full(block[-1], word_hashes([b"\n"])[0])
+    stream[without_tails(block, 1)] = own[coded.indices.to_numpy()]
+    h = np.concatenate([gram_hashes(stream[i : i + STEP + DEPTH - 1], DEPTH) for i in range(0, len(stream) or 1, STEP)])
+    h = h[without_tails(tokens, DEPTH - 1)[: len(h)]]
+    n = np.maximum(np.diff(tokens) - DEPTH + 1, 0)
+    bounds = bounds_of(n)
+    digests = {x: xxh3_64_intdigest(x) for x in set(hosts)}
+    h = mixed(h ^ np.repeat(np.array([digests[x] for x in hosts], np.uint64), n))
+    of = np.repeat(np.arange(len(n)), np.diff(page))
+    of = np.concatenate([of, of])
+    at = np.concatenate([block[:-1], block[1:] - DEPTH]) - tokens[of]
+    there = (at >= 0) & (at < n[of])
+    return h.view(np.int64), bounds, np.unique(at[there] + bounds[of[there]])
+
+
+def sparse_places(heads: np.ndarray, bounds: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Places of the sparse heads: the first least (unsigned) of each GAP neighbours in a page, the edges, and all of a short page."""
+    least, at = heads.view(np.uint64), np.arange(len(heads))
+    for step in (1, 2, 4):  # least of 2, 4 and GAP = 8
+        later = least[step:] < least[:-step]
+        least, at = np.where(later, least[step:], least[:-step]), np.where(later, at[step:], at[:-step])
+    found = np.repeat(np.diff(bounds) <= GAP, np.diff(bounds))
+    found[at[without_tails(bounds, GAP - 1)[: len(at)]]] = True
+    found[edges] = True
+    return np.flatnonzero(found)
+
+
+def page_of(places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.searchsorted(bounds, places, "right") - 1
+
+
+def firsts(*columns: np.ndarray) -> np.ndarray:
+    """Where ordered rows differ from the row before, the first included."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def page_counts(key: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, a page of each and its number of pages; the pages ascend."""
+    order = np.argsort(key, kind="stable")
+    order = order[firsts(key[order], page[order])]
+    key = key[order]
+    at = firsts(key)
+    return key[at], page[order[at]], np.diff(at, append=len(key))
+
+
+def pair_counts(key: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different (key, other) and the number of its places."""
+    order = np.lexsort((other, key))
+    at = firsts(key[order], other[order])
+    return order[at], np.diff(at, append=len(key))
+
+
+def finder(sorted_keys: np.ndarray):
+    """A function that gives the places of those of its keys that are in ``sorted_keys``, and their places there."""
+    marks = np.zeros(1 << 20, bool)  # by leading bits: few keys have to be searched for
+    marks[sorted_keys.view(np.uint64) >> np.uint64(44)] = True
+
+    def find(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.flatnonzero(marks[keys.view(np.uint64) >> np.uint64(44)])
+        if not len(place):
+            return place, place
+        at = np.minimum(np.searchsorted(sorted_keys, keys[place]), len(sorted_keys) - 1)
+        same = sorted_keys[at] == keys[place]
+        return place[same], at[same]
+
+    return find
+
+
+def around(at: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Places less than GAP from the ascending places ``at`` in the same page."""
+    page = page_of(at, bounds)
+    edge = np.zeros(bounds[-1] + 1, np.int64)
+    np.add.at(edge, np.maximum(at - GAP + 1, bounds[page]), 1)
+    np.add.at(edge, np.minimum(at + GAP, bounds[page + 1]), -1)
+    return np.flatnonzero(np.cumsum(edge)[:-1])
 
 
 def boilerplate(spots: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
@@ -163,15 +252,25 @@ def boilerplate(spots: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]
     return out + (pairs if sum(b - a for a, b in pairs) < COPIED else [])
 
 
+def whole_texts(blocks: pa.ListArray, inside: pa.ListArray) -> list[str]:
+    """Text of each page's article (without one: of all blocks)."""
+    page = bounds_of(pc.list_value_length(blocks).to_numpy())
+    own = inside.flatten().to_numpy(zero_copy_only=False).astype(bool)
+    of = np.repeat(np.arange(len(blocks)), np.diff(page))
+    own |= (np.bincount(of[own], minlength=len(blocks)) == 0)[of]
+    kept = blocks.flatten().filter(pa.array(own))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds_of(own)[page], pa.int32()), kept), " ").to_pylist()
+
+
 def pruned(texts: list[str], inside: list[bool], ranges: list[tuple[int, int]]) -> str:
     """Text of the article's blocks (without one: of all blocks) outside the ranges of the stream."""
     whole, out, at = not any(inside), [], 0
     gone = {i for a, b in ranges for i in range(a, b)}
     for text, own in zip(texts, inside):
-        words = text.split(" ")
+        end = at + text.count(" ") + 1
         if whole or own:
-            out += [w for i, w in enumerate(words, at) if i not in gone]
-        at += len(words) + 1
+            out += [text] if gone.isdisjoint(range(at, end)) else [w for i, w in enumerate(text.split(" "), at) if i not in gone]
+        at = end + 1
     return " ".join(out)
 
 
@@ -201,12 +300,13 @@ def main_texts(pages: DataFrame, limit: int = 32 << 20) -> DataFrame:
 
     def sparse_of(batches):
         for b in batches:
-            own, need = [], []
-            for host, texts, n, slot in zip(*(c.to_pylist() for c in b.columns)):
-                heads, sparse = suffix_heads(host, texts)
-                own.append(np.unique(heads[sparse]))
-                need.append((np.full(len(own[-1]), slot), np.full(len(own[-1]), n)))
-            yield from summed([(0, np.concatenate(own), *map(np.concatenate, zip(*need)))] if own else [])
+            for part in pieces(b):
+                heads, bounds, edges = suffix_heads(part.column("host").to_pylist(), part.column("blocks"))
+                at = sparse_places(heads, bounds, edges)
+                key, page, n = page_counts(heads[at], page_of(at, bounds))
+                need, of = (part.column(c).to_numpy()[page] for c in ("need", "slot"))
+                order = np.argsort(of, kind="stable")  # runs of one host take less room
+                yield counted(0, *(x[order] for x in (key, of, n, need)))
 
     slot = F.pmod(F.xxhash64("host"), F.lit(1 << 20))
     base = pages.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url", F.xxhash64("html").alias("th"), "html")
@@ -226,13 +326,10 @@ def main_texts(pages: DataFrame, limit: int = 32 << 20) -> DataFrame:
 COUNTS = "kind int, key long, other long, n long, need int"
 
 
-def summed(parts: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]):
-    """A batch of COUNTS with a row for each different (kind, key, other)."""
-    for kind, key, other, need in parts:
-        pair, first, n = np.unique(np.stack([key, other]), axis=1, return_index=True, return_counts=True)
-        at = np.argsort(pair[1], kind="stable") if kind == 0 else np.arange(len(n))  # runs of one host take less room
-        cols = [np.full(len(n), kind, np.int32), pair[0][at], pair[1][at], n[at].astype(np.int64), need[first][at].astype(np.int32)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [c.split()[0] for c in COUNTS.split(", ")])
+def counted(kind: int, *cols: np.ndarray) -> pa.RecordBatch:
+    """A batch of COUNTS."""
+    names, kinds = zip(*(c.split() for c in COUNTS.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, {"int": pa.int32(), "long": pa.int64()}[k]) for c, k in zip((np.full(len(cols[0]), kind), *cols), kinds)], names)
 
 
 def pruned_pages(parsed: DataFrame, distinct: DataFrame, sparse: DataFrame, spark: SparkSession) -> DataFrame:
@@ -240,18 +337,21 @@ def pruned_pages(parsed: DataFrame, distinct: DataFrame, sparse: DataFrame, spar
     known = spark.sparkContext.broadcast(np.sort(sparse.toArrow().column("key").to_numpy()))
 
     def counts_of(batches):
+        find = finder(known.value)
         for b in batches:
-            parts = ([], [], [])
-            for host, texts, n, _ in zip(*(c.to_pylist() for c in b.columns)):
-                heads, _ = suffix_heads(host, texts)
-                near = np.flatnonzero(around(among(heads, known.value)[0]))
-                key = heads[near]
-                edge = np.zeros(DEPTH, np.int64)
-                before, after = np.concatenate([edge, heads])[near], np.concatenate([heads, edge])[near + DEPTH]
-                page = np.unique(key)
-                for part, k, o in zip(parts, (page, key, key), (np.zeros(len(page), np.int64), before, after)):
-                    part.append((k, o, np.full(len(k), n)))
-            yield from summed([(kind, *map(np.concatenate, zip(*part))) for kind, part in enumerate(parts) if part])
+            for part in pieces(b):
+                heads, bounds, _ = suffix_heads(part.column("host").to_pylist(), part.column("blocks"))
+                near = around(find(heads)[0], bounds)
+                page, key = page_of(near, bounds), heads[near]
+                need = part.column("need").to_numpy()
+                same, first, n = page_counts(key, page)
+                yield counted(0, same, np.zeros(len(same), np.int64), n, need[first])
+                for kind, step in ((1, -DEPTH), (2, DEPTH)):
+                    to = near + step
+                    there = (to >= bounds[page]) & (to < bounds[page + 1])
+                    other = np.where(there, heads[np.where(there, to, 0)], 0)
+                    at, n = pair_counts(key, other)
+                    yield counted(kind, key[at], other[at], n, need[page[at]])
 
     counts = in_arrow(distinct, counts_of, COUNTS).groupBy("kind", "key", "other").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
     ways = lambda kind: F.count_if(F.col("kind") == kind)
@@ -261,12 +361,19 @@ def pruned_pages(parsed: DataFrame, distinct: DataFrame, sparse: DataFrame, spar
 
     def prune(batches):
         key, *facts = table.value
+        find = finder(key)
         for b in batches:
-            texts = []
-            for host, blocks, inside in zip(*(c.to_pylist() for c in b.columns[2:])):
-                there, at = among(suffix_heads(host, blocks)[0], key)
-                place = np.flatnonzero(there)
-                texts.append(pruned(blocks, inside, boilerplate(list(zip(place.tolist(), *(f[at[place]].tolist() for f in facts))))))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+            for part in pieces(b):
+                blocks, inside = part.column("blocks"), part.column("inside")
+                heads, bounds, _ = suffix_heads(part.column("host").to_pylist(), blocks)
+                place, at = find(heads)
+                page, texts = page_of(place, bounds), whole_texts(blocks, inside)
+                first = firsts(page)
+                for a, z in zip(first, [*first[1:], len(page)]):
+                    p = int(page[a])
+                    ranges = boilerplate(list(zip((place[a:z] - bounds[p]).tolist(), *(f[at[a:z]].tolist() for f in facts))))
+                    if ranges:
+                        texts[p] = pruned(blocks[p].as_py(), inside[p].as_py(), ranges)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return in_arrow(parsed.select("page_id", "url", "host", "blocks", "inside"), prune, "page_id long, url string, text string")

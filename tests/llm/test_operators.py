@@ -9,6 +9,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -373,6 +374,70 @@ def test_html_groups_of_hosts(spark):
     assert whole == parts and all(len(t.split(" ")) == 50 for _, t in whole)
 
 
+def html_batch(pages: list[tuple[str, list[str]]]) -> pa.RecordBatch:
+    hosts, blocks = zip(*pages)
+    cols = [pa.array(hosts, pa.string()), pa.array(blocks, pa.list_(pa.string())), pa.array([2] * len(pages), pa.int32()), pa.array([7] * len(pages), pa.int64())]
+    return pa.RecordBatch.from_arrays(cols, ["host", "blocks", "need", "slot"])
+
+
+def test_html_hashes_each_word_once(spark, monkeypatch):
+    stages, hashed = [], []
+    in_arrow, word_hashes = html_text.in_arrow, html_text.word_hashes
+    monkeypatch.setattr(html_text, "in_arrow", lambda df, f, schema: stages.append(f) or in_arrow(df, f, schema))
+    html_text.main_texts(spark.createDataFrame([(1, "http://h/x", page("<p>one</p>"))], "page_id long, url string, html string"))
+    monkeypatch.setattr(html_text, "word_hashes", lambda words: hashed.extend(words) or word_hashes(words))
+    r = random.Random(6)
+    words = unlike(r, 50).split(" ")
+    batch = html_batch([("h", [" ".join(r.choices(words, k=30)) for _ in range(4)]) for _ in range(100)])
+    for stage in stages[1:3]:  # the sparse heads, the heads around the repeated ones
+        hashed.clear()
+        assert list(stage(iter([batch])))
+        assert len(hashed) <= 51  # 12,400 tokens of 50 words and the mark between blocks
+
+
+def test_html_heads_and_sparse_places(monkeypatch):
+    """Against the definition, page by page: equal hashes are equal hosts and heads; pages and pieces of any size."""
+    r = random.Random(7)
+    pages = [(f"h{r.randrange(2)}", [" ".join(r.choices("ab", k=r.randrange(1, 12))) for _ in range(r.randrange(6))]) for _ in range(60)]
+    pages += [("h0", []), ("h1", ["\u00e9 " * 30 + "\U0001f600"]), ("h0", ["x"])]
+    digests = {}
+    for size in (1, 200, 1 << 20):
+        monkeypatch.setattr(html_text, "PIECE", size)
+        monkeypatch.setattr(html_text, "STEP", 16)
+        seen = []
+        for part in html_text.pieces(html_batch(pages)):
+            heads, bounds, edges = html_text.suffix_heads(part.column("host").to_pylist(), part.column("blocks"))
+            places = html_text.sparse_places(heads, bounds, edges)
+            for a, b in zip(bounds, bounds[1:]):
+                host, texts = pages[len(seen)]
+                tokens = [t for x in texts for t in (*x.split(" "), "\n")]
+                n = max(0, len(tokens) - html_text.DEPTH + 1)
+                own = heads[a:b].view(np.uint64).tolist()
+                assert len(own) == n
+                for i, x in enumerate(own):
+                    assert digests.setdefault((host, *tokens[i : i + html_text.DEPTH]), x) == x
+                starts = [0, *(i + 1 for i, t in enumerate(tokens) if t == "\n")]
+                want = {i for s in starts for i in (s, s - html_text.DEPTH) if 0 <= i < n}
+                want |= {min(range(i, i + html_text.GAP), key=own.__getitem__) for i in range(n - html_text.GAP + 1)} if n > html_text.GAP else set(range(n))
+                assert [p - a for p in places if a <= p < b] == sorted(want)
+                seen.append(host)
+        assert len(seen) == len(pages)
+    assert len(set(digests.values())) == len(digests)
+
+
+def test_html_counts_by_page():
+    """Distinct pages of a key, and places near a hit, stay within their page."""
+    key, page, n = html_text.page_counts(np.array([5, 5, 3, 5, 3]), np.array([0, 0, 1, 2, 2]))
+    assert (key.tolist(), page.tolist(), n.tolist()) == ([3, 5], [1, 0], [2, 2])
+    at, n = html_text.pair_counts(np.array([4, 2, 4, 4]), np.array([1, 9, 0, 1]))
+    assert (at.tolist(), n.tolist()) == ([1, 2, 0], [1, 1, 2])
+    assert html_text.around(np.array([3]), np.array([0, 0, 5, 30])).tolist() == [0, 1, 2, 3, 4]
+    assert html_text.around(np.array([15]), np.array([0, 5, 5, 30])).tolist() == list(range(8, 23))
+    place, at = html_text.finder(np.array([-9, 4, 8]))(np.array([8, 5, -9, 8]))
+    assert (place.tolist(), at.tolist()) == ([0, 2, 3], [2, 0, 2])
+    assert not len(html_text.finder(np.empty(0, np.int64))(np.array([8]))[0])
+
+
 def test_empty_tables(nothing, spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     for f in (substring_dedup.dedup, lambda d: bpe.token_counts(d, path), lambda d: bpe.round_trip(d, path), fingerprints.edited_fingerprints, secrets.scan, sharding.shard_by_bytes, quality.verdicts, jaccard_join.classes_of, mixing.balance):
