@@ -18,9 +18,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow
+from .common import in_arrow, kept
 
-CACHE = 400_000  # pre-tokens a worker remembers; beyond that it keeps those of the block at hand
+CACHE = 200_000  # pre-tokens a worker remembers; beyond that it keeps those of the block at hand
+BLOCK = 300_000  # characters that round_trip cuts into pre-tokens at once
 SPACE = r"\p{White_Space}"
 
 
@@ -54,7 +55,8 @@ class Tokenizer:
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pieces = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|{SPACE}+(?!\P{{White_Space}})|{SPACE}+").findall
         self.pair_keys, self.pair_ok = np.empty(0, np.int64), np.empty(0, bool)
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.known: dict[str, str] = {}
+        self.odd: dict[str, bytes] = {}  # of the known, those whose tokens don't decode to themselves
 
     def segments(self, text: str) -> list[str]:
         """Pre-tokens in order; special strings stand alone."""
@@ -143,9 +145,18 @@ class Tokenizer:
     def learn(self, pieces: set[str]) -> None:
         if len(self.known) + len(pieces) > CACHE:
             self.known = {p: self.known[p] for p in pieces if p in self.known}
+            self.odd = {p: self.odd[p] for p in pieces if p in self.odd}
         todo = [p for p in pieces if p not in self.known]
         for p, ids in zip(todo, self.encode_pieces(todo)):
-            self.known[p] = (",".join(map(str, ids)), len(ids), self.decode(ids))
+            self.known[p] = ",".join(map(str, ids))
+            if (back := self.decode(ids)) != p.encode("utf-8"):
+                self.odd[p] = back
+
+    def decoded(self, pieces: list[str]) -> bytes:
+        """What the tokens of known pieces decode to, one after the other."""
+        if not self.odd:
+            return "".join(pieces).encode("utf-8")
+        return b"".join([self.odd[p] if p in self.odd else p.encode("utf-8") for p in pieces])
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -154,16 +165,9 @@ class Tokenizer:
         return [x for ids in self.encode_pieces(self.segments(text)) for x in ids]
 
 
-_loaded: dict[int, Tokenizer] = {}
-
-
 def loaded(spec: str) -> Tokenizer:
-    """One tokenizer, with its caches, for each worker process and file."""
-    key = hash(spec)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Tokenizer(spec)
-    return _loaded[key]
+    """One tokenizer, with its caches, for each worker process and file, until a stage of another kind runs there."""
+    return kept(("tokenizer", hash(spec)), lambda: Tokenizer(spec))
 
 
 def blocks(texts: list, size: int = 1_000_000):
@@ -198,22 +202,21 @@ def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
         t = loaded(spec.value)
         for b in batches:
             texts = b.column(1).to_pylist()
-            for i, j in blocks(texts):
+            for i, j in blocks(texts, BLOCK):
                 lists = [t.segments(x or "") for x in texts[i:j]]
                 t.learn(set().union(*lists))
-                counts, ids, back, kept = [], [], [], []
+                counts, ids, back, joint = [], [], [], []
                 for pieces in lists:
-                    got = [t.known[p] for p in pieces]
-                    joined = ",".join([g[0] for g in got])
-                    counts.append(sum(g[1] for g in got))
+                    joined = ",".join(map(t.known.__getitem__, pieces))
+                    counts.append(joined.count(",") + bool(joined))
                     ids.append(hashlib.sha256(joined.encode()).hexdigest())
-                    back.append(hashlib.sha256(b"".join([g[2] for g in got]).decode("utf-8", "replace").encode()).hexdigest())
-                    kept.append(joined)
-                cols = [b.column(0).slice(i, j - i), pa.array(counts, pa.int64()), pa.array(ids), pa.array(back), *[pa.array(kept)] * with_ids]
+                    back.append(hashlib.sha256(t.decoded(pieces).decode("utf-8", "replace").encode()).hexdigest())
+                    joint.append(joined)
+                cols = [b.column(0).slice(i, j - i), pa.array(counts, pa.int64()), pa.array(ids), pa.array(back), *[pa.array(joint)] * with_ids]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string" * with_ids
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema, keep=True)
 
 
 def frequent(docs: DataFrame, path: str, size: int = 32_768) -> dict[str, int]:

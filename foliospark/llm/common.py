@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import ARROW_ROWS, discard, in_arrow, session_of, setting, shared_dir, small_batches, stored, trimmed  # noqa: F401
+from ..sources.shared import ARROW_ROWS, discard, forget, in_arrow, kept, release, session_of, setting, shared_dir, small_batches, stored, trimmed  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"

@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, in_arrow, packed, packed_rows, small, stored
+from .common import discard, forget, in_arrow, packed, packed_rows, release, small, stored
 from .graph import components
 from .shingles import gram_hashes, mixed, word_hashes
 
 THIN = 2  # at most; classes with few shingles a part use less
-SHINGLES = 1_000_000  # in a slice of a block, and signatures that a task holds at once
+SHINGLES = 1_000_000  # in a slice of a block
+SIGNATURES = 400_000  # that a task holds at once
+LARGE = 8 << 20  # bytes of sets after whose search memory goes back to the system
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -194,11 +196,16 @@ def equal_parts(held: list[tuple[int, np.ndarray, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (sig[at], node[at], need[at].astype(np.int32), kind.astype(np.int32), salt)], ["sig", "node", "need", "kind", "salt"])
 
 
+def pieces(batch: pa.RecordBatch, rows: int = 65_536):
+    """The batch in pieces of so many rows, so that Spark holds few of them at once."""
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 def same_signature(signed: DataFrame) -> DataFrame:
     """Edges (u, v) that join the nodes with an equal signature, from the rows of ``equal_parts``.
 
     ``need`` is twice the parts that a node needs, plus 1 in its second class. Only signatures that two different nodes have leave the shuffle. Tasks report a signature there once for each
-    SHINGLES signatures, so a hot one has few rows; the rows of kind 2 are dealt out by their salts.
+    SIGNATURES signatures, so a hot one has few rows; the rows of kind 2 are dealt out by their salts.
     """
     every = Window.partitionBy("sig", "salt")
     met = signed.withColumn("several", F.min("node").over(every) != F.max("node").over(every)).filter("kind = 2 OR kind = 0 AND several")
@@ -249,11 +256,11 @@ def classes_of(docs: DataFrame, threshold: str = "0.9", k: int = 3, shingles: in
                     seen.add(node)
                     held += [(node, sig, need * 2 + i) for i, (sig, need) in enumerate(signatures(s, classes))]
                     n += sum(len(sig) for _, sig, _ in held[-2:])
-                if n >= shingles:
-                    yield equal_parts(held)
+                if n >= min(shingles, SIGNATURES):
+                    yield from pieces(equal_parts(held))
                     held, n, seen = [], 0, set()
         if held:
-            yield equal_parts(held)
+            yield from pieces(equal_parts(held))
 
     near = same_signature(in_arrow(base.select("text"), sign, "sig long, node long, need int, kind int, salt long"))
     blocks = components(near)
@@ -313,9 +320,12 @@ def linked(base: DataFrame, members: DataFrame, t: Fraction, k: int, **broadcast
     placed = got.select("node", "root", F.explode("keys").alias("key"), "set").select("node", "root", "key.block", "key.i", "key.j", "set")
 
     def run(table):
+        forget()
         nodes, at = np.unique(table.column("node").to_numpy(), return_index=True)
         held = table.column("set")
         found = search([np.frombuffer(held[int(i)].as_buffer(), np.uint64) for i in at], t)
+        if table.nbytes > LARGE:
+            release()
         return pa.table({"u": pa.array([int(nodes[a]) for a, _ in found], pa.int64()), "v": pa.array([int(nodes[b]) for _, b in found], pa.int64())})
 
     return placed.groupBy("root", "block", "i", "j").applyInArrow(run, "u long, v long")

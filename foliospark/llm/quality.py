@@ -10,12 +10,13 @@ documents.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed_rows, quoted, small_batches, stored
+from .common import packed_rows, quoted, small_batches, stored, trimmed
 
 SYMBOLS = b"#*$%&|<>"
 #: Upper fences by ratio: (quantile, inner quantile, factor); a value is too high above q + factor * (q - inner) + 1.
@@ -54,10 +55,14 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int, int]:
 def counted(text: Column) -> Column:
     """Struct of the counts of a text (null: empty)."""
 
+    def stats(batches):
+        for texts in batches:
+            rows = [text_stats(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(NAMES))], NAMES)
+
     @F.arrow_udf(f"struct<{STATS.replace(' ', ':').replace(',:', ',')}>")
-    def counts(texts: pa.Array) -> pa.Array:
-        rows = [text_stats(t.as_py()) for t in texts]
-        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(NAMES))], NAMES)
+    def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return trimmed(stats)(batches)
 
     return counts(text)
 

@@ -70,20 +70,47 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def in_arrow(df: DataFrame, f, schema: str) -> DataFrame:
-    """``df.mapInArrow`` in small batches; freed memory goes back to the system when a task ends."""
-    return small_batches(df).mapInArrow(trimmed(f), schema)
+def in_arrow(df: DataFrame, f, schema: str, keep: bool = False) -> DataFrame:
+    """``df.mapInArrow`` in small batches, ``trimmed``."""
+    return small_batches(df).mapInArrow(trimmed(f, keep), schema)
 
 
-def trimmed(f):
-    """``f`` for mapInArrow; freed memory goes back to the system when a task ends."""
+def trimmed(f, keep: bool = False):
+    """``f`` over batches; freed memory goes back to the system when a task ends.
+
+    Spark hands workers on from stage to stage: unless ``keep``, what earlier stages left ``kept`` there goes first.
+    """
 
     def run(batches):
+        if not keep:
+            forget()
         yield from f(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        release()
 
     return run
+
+
+def release() -> None:
+    """Freed memory of this process goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+_kept: dict = {}
+
+
+def kept(key, make):
+    """``make()``, which the worker process keeps for the next tasks that ask for the same key; one key at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    if _kept:
+        _kept.clear()
+        release()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foliospark.llm import bpe, fingerprints, graph, html_text, jaccard_join, mixing, quality, secrets, sharding, substring_dedup
+from foliospark.llm.common import trimmed
 
 from . import brute
 
@@ -108,6 +110,32 @@ def test_bpe_merges_of_long_and_odd_words():
         assert own.encode(t) == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_bpe_cache_is_small():
+    own = bpe.Tokenizer(open(public_tokenizers.path("byte_bpe_50k.json")).read())
+    r = random.Random(3)
+    pieces = {"".join(r.choice("abcdefgh") for _ in range(8)) for _ in range(20_000)}
+    own.encode_pieces(list(pieces))  # pair verdicts are kept apart
+    tracemalloc.start()
+    own.learn(pieces)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 200 * len(pieces)
+    some = sorted(pieces)[:5]
+    assert own.decoded(some) == "".join(some).encode()
+    own.bytes[own.ids[b"a"]] = b"\xff"  # tokens that don't decode to themselves
+    own.learn({"a", "\u00e9"})
+    assert own.decoded(["a", some[0], "\u00e9", "a"]) == b"\xff" + some[0].encode() + "\u00e9".encode() + b"\xff"
+
+
+def test_worker_lets_go_of_other_stages_caches():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    spec = open(path).read()
+    own = bpe.loaded(spec)
+    assert bpe.loaded(spec) is own
+    assert list(trimmed(iter, keep=True)([1, 2])) == [1, 2] and bpe.loaded(spec) is own
+    assert list(trimmed(iter)([1, 2])) == [1, 2] and bpe.loaded(spec) is not own
+
+
 def test_fingerprints(docs, rows):
     out = fingerprints.edited_fingerprints(docs, rows_per_range=10, least_ranges=8).collect()
     assert Counter(r["doc_id"] for r in out) == Counter(d for d, _ in pairs(rows))
@@ -254,6 +282,19 @@ def test_equal_parts_of_tasks(spark, seed):
     assert got(jaccard_join.same_signature(signed), "u", "v") == Counter((a, b) for a, b in want if a != b)
 
 
+def test_signing_holds_few_signatures(monkeypatch, spark):
+    stages, held, in_arrow, equal_parts = [], [], jaccard_join.in_arrow, jaccard_join.equal_parts
+    monkeypatch.setattr(jaccard_join, "in_arrow", lambda df, f, schema: stages.append((f, schema)) or in_arrow(df, f, schema))
+    jaccard_join.classes_of(spark.createDataFrame([(1, "a b c", "", "", 0, 0, "", "", "")], SCHEMA))
+    sign = next(f for f, schema in stages if schema.startswith("sig long"))
+    monkeypatch.setattr(jaccard_join, "equal_parts", lambda rows: held.append(sum(len(s) for _, s, _ in rows)) or equal_parts(rows))
+    texts = [" ".join(f"{i}w{j}" for j in range(20_000)) for i in range(90)]
+    out = [b for i in range(0, 90, 10) for b in sign([pa.RecordBatch.from_arrays([pa.array(texts[i : i + 10])], ["text"])])]
+    every = [b for b in sign(pa.RecordBatch.from_arrays([pa.array(texts[i : i + 10])], ["text"]) for i in range(0, 90, 10))]
+    assert sum(b.num_rows for b in every) == sum(b.num_rows for b in out)
+    assert max(held) < 500_000 and max(b.num_rows for b in every) <= 65_536
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_search_finds_components(seed):
     r, sets = random.Random(seed), []
